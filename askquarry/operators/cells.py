@@ -22,12 +22,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from askquarry.functions.vectors import SCORE_DIGITS
-from askquarry.operators.search import BLOCK_ROWS, _matrix, _unit, best_of, check_metric, check_model, score_blocks
+from askquarry.operators.search import (
+    _matrix,
+    _unit,
+    best_of,
+    check_metric,
+    check_model,
+    rows_per_block,
+    score_blocks,
+)
 from askquarry.session import materialize
 
 # Centres are held by every task: at most this many bytes of them.
 CENTRE_BYTES = 64 * 1024 * 1024
 TRAINING_ROWS_PER_CELL = 256
+PUSHED_CELLS = 1_000
 DISTANCE_ENTRIES = 4_000_000
 
 
@@ -155,18 +164,22 @@ def _visit(index: CellIndex, routed: DataFrame, dim: int, k: int, block_rows: in
     """Score routed queries against the rows of their cells, block by block."""
     asked = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n_queries"))
     # At most one row per centre, whose number build_cells bounds.
-    layout = F.broadcast(
-        index.stats.join(asked, "cell").select(
-            "cell",
-            F.ceil(F.col("n_rows") / block_rows).alias("blocks"),
-            F.ceil(F.col("n_queries") / block_rows).alias("parts"),
-        )
-    )
+    layout = index.stats.join(asked, "cell").select(
+        "cell",
+        F.ceil(F.col("n_rows") / block_rows).alias("blocks"),
+        F.ceil(F.col("n_queries") / block_rows).alias("parts"),
+    ).toArrow()
+    cells = layout.column("cell").to_pylist()
+    rows = index.rows
+    if len(cells) <= PUSHED_CELLS:
+        # A plain filter, so that files holding none of these cells are not read.
+        rows = rows.filter(F.col("cell").isin(cells))
+    layout = F.broadcast(routed.sparkSession.createDataFrame(layout))
 
     def numbers(n: str):
         return F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
 
-    left = index.rows.join(layout, "cell").select(
+    left = rows.join(layout, "cell").select(
         "id", "values", "cell", F.pmod(F.xxhash64("id"), "blocks").alias("block"), F.explode(numbers("parts")).alias("part")
     )
     right = routed.join(layout, "cell").select(
@@ -181,7 +194,7 @@ def topk_cells(
     k: int,
     probes: int = 4,
     exact: bool = False,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """The k best rows per query from the cell index, as ``(qid, rank, id, score)``.
 
@@ -190,12 +203,12 @@ def topk_cells(
     """
     check_model(queries, "vector", index.rows, "values")
     dim = index.centres.shape[1]
-    queries = queries.select("qid", "vector")
+    block_rows = block_rows or rows_per_block(dim)
+    queries = materialize(queries.select("qid", "vector"), "cell-queries")
     routed = _route(queries, index, dim, probes, None)
     first = _visit(index, routed, dim, k, block_rows)
     if not exact:
         return best_of(first, k, index.metric)
-    queries = materialize(queries, "cell-queries")
     first = materialize(best_of(first, k, index.metric), "cell-first-round").drop("rank")
     kth = first.groupBy("qid").agg(
         F.count(F.lit(1)).alias("n"),

@@ -9,7 +9,7 @@ SALTS = 16
 
 
 def _lines(text: Column) -> Column:
-    return F.transform(F.split(text, r"\r?\n"), F.trim)
+    return F.transform(F.split(text, r"\r?\n"), lambda line: F.trim(line))
 
 
 def boilerplate_lines(docs: DataFrame, text: str = "content", min_docs: int = 5) -> DataFrame:

@@ -27,7 +27,9 @@ from askquarry.session import materialize
 DEFAULT_K = 4
 BROADCAST_QUERIES = 10_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_MATCHES = 500_000
 BLOCK_ROWS = 16_384
+BLOCK_BYTES = 128 * 1024 * 1024
 ROW_SLICE = 4_096
 QUERY_SLICE = 256
 
@@ -82,6 +84,25 @@ def _unit(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return matrix[rows] / norms[rows, None], rows
 
 
+def _few_copies(ids: np.ndarray, matrix: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most k rows of each distinct vector, those with the lowest ids.
+
+    Equal vectors score alike, so the others cannot rank; without this a
+    large group of copies would tie its way into every candidate list.
+    """
+    if len(ids) <= k:
+        return ids, matrix
+    mark = np.einsum("ij,j->i", matrix, np.cos(np.arange(matrix.shape[1])))
+    _, first, group, counts = np.unique(mark, return_index=True, return_inverse=True, return_counts=True)
+    if counts.max() <= k:
+        return ids, matrix
+    copies = (matrix == matrix[first[group]]).all(axis=1) & (counts[group] > k)
+    frame = pd.DataFrame({"row": np.flatnonzero(copies), "group": group[copies], "id": ids[copies]})
+    lowest = frame.sort_values("id").groupby("group", sort=False).head(k)["row"].to_numpy()
+    kept = np.concatenate([np.flatnonzero(~copies), lowest])
+    return ids[kept], matrix[kept]
+
+
 class QuerySet:
     """Query vectors held by one task, and the k best matches seen for each."""
 
@@ -99,6 +120,7 @@ class QuerySet:
         if self.metric == "cosine":
             matrix, rows = _unit(matrix)
             ids = ids[rows]
+        ids, matrix = _few_copies(ids, matrix, self.k)
         for r in range(0, len(matrix), ROW_SLICE):
             for q in range(0, len(self.matrix), QUERY_SLICE):
                 self._offer_slice(ids[r : r + ROW_SLICE], matrix[r : r + ROW_SLICE], q)
@@ -211,6 +233,10 @@ def score_blocks(corpus: DataFrame, queries: DataFrame, keys: list[str], dim: in
     )
 
 
+def rows_per_block(dim: int) -> int:
+    return max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * dim)))
+
+
 def _scan_blocks(corpus: DataFrame, queries: DataFrame, dim: int, k: int, metric: str, block_rows: int) -> DataFrame:
     """Hash both sides into blocks; the corpus is repeated per query block and the reverse."""
     lanes = max(1, math.ceil(corpus.count() / block_rows))
@@ -241,7 +267,7 @@ def topk(
     metric: str = "cosine",
     dim: int | None = None,
     broadcast_queries: int = BROADCAST_QUERIES,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """The k best corpus rows for every query, as ``(qid, rank, id, score)``.
 
@@ -261,24 +287,38 @@ def topk(
     if not dim:
         raise ValueError("the vector dimension is neither given nor in the column metadata")
     corpus = corpus.select("id", "values")
-    queries = queries.select("qid", "vector")
+    # Written once: the vectors may come from paid model calls, and are counted and read.
+    queries = materialize(queries.select("qid", "vector"), "query-vectors")
     limit = max(0, min(broadcast_queries, BROADCAST_BYTES // (8 * dim)))
-    head = queries.limit(limit + 1).toArrow()
-    if head.num_rows <= limit:
-        partial = _scan_broadcast(corpus, queries, head, dim, k, metric)
+    if queries.count() <= limit:
+        partial = _scan_broadcast(corpus, queries, queries.toArrow(), dim, k, metric)
     else:
-        partial = _scan_blocks(
-            materialize(corpus, "corpus-vectors"), materialize(queries, "query-vectors"), dim, k, metric, block_rows
-        )
+        partial = _scan_blocks(corpus, queries, dim, k, metric, block_rows or rows_per_block(dim))
     return best_of(partial, k, metric)
 
 
 def with_payload(
-    matches: DataFrame, records: DataFrame, include_values: bool = False, include_metadata: bool = True
+    matches: DataFrame,
+    records: DataFrame,
+    include_values: bool = False,
+    include_metadata: bool = True,
+    broadcast_matches: int = BROADCAST_MATCHES,
 ) -> DataFrame:
-    """Join the payload of the winners back on; it is not read before the top-k."""
+    """Join the payload of the winners back on; it is not read before the top-k.
+
+    The matches are written out, so the search runs once, and counted. Up to
+    ``broadcast_matches`` of them are broadcast and the records only scanned. More are
+    joined by shuffle, first to their distinct ids, so a record that very many
+    queries found is fetched once.
+    """
     wanted = ["id"] + ["values"] * include_values + ["metadata"] * include_metadata
-    joined = matches.join(records.select(*wanted), "id")
+    matches = materialize(matches, "matches")
+    payloads = records.select(*wanted)
+    if matches.count() <= broadcast_matches:
+        joined = payloads.join(F.broadcast(matches), "id")
+    else:
+        joined = matches.join(payloads.join(matches.select("id").distinct(), "id", "left_semi"), "id")
+    joined = joined.select(*matches.columns, *wanted[1:])
     if not include_metadata:
         return joined
     payload = read_payload(F.col("metadata"))

@@ -9,6 +9,7 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -38,7 +39,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    with_metadata = {f.name: f.metadata for f in df.schema.fields if f.metadata}
+    return written.withColumns({n: F.col(n).alias(n, metadata=m) for n, m in with_metadata.items()})
 
 
 def spread(df: DataFrame) -> DataFrame:

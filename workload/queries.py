@@ -90,7 +90,7 @@ def split_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def judge(spark: SparkSession, sf_dir: str) -> answers.Stage:
     """Verdict stage: is the question closer to documents of good quality than to the others?"""
-    graded = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").select("text", "quality")
+    graded = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).join(table(spark, sf_dir, "labels"), "doc_id").select("text", "quality")
     centroids = classify.class_centroids(hash_embed(graded, "text", "values"), "quality", "values")
 
     def run(df: DataFrame) -> DataFrame:
@@ -202,6 +202,32 @@ def chunk_changes(spark, sf_dir):
     return records.changes(before, after)
 
 
+@query
+def ingest_stream(spark, sf_dir):
+    """The whole load as streams: two corpora, each with its own checkpoint, into one vector table."""
+    root = scratch_path(spark, "ingest-stream")
+    store = VectorTable(spark, f"{root}/vectors")
+    for first_load, (source, url, content) in enumerate(
+        [
+            ("documents", F.concat_ws("/", "source", F.col("doc_id").cast("string")), "text"),
+            ("pages", "url", html_to_text(F.col("html"))),
+        ]
+    ):
+        schema = table(spark, sf_dir, source).schema
+        for _ in range(2):  # the second run finds nothing new
+            drain.drain_to_vectors(
+                drain.stream_table(spark, f"{sf_dir}/{source}.parquet*", schema),
+                store,
+                drain.checkpoint_path(root, source, "vectors"),
+                lambda batch: ingest.records_from_documents(
+                    corpus.documents(spread(batch), url, content), NAMESPACE
+                ),
+                first_load * 1_000_000,
+            )
+    live = store.current(NAMESPACE)
+    return live.select("namespace", "id", F.md5("metadata").alias("metadata_md5"))
+
+
 # --- projections and records --------------------------------------------------------
 
 
@@ -531,7 +557,8 @@ def centroid_classify(spark, sf_dir):
 
 @query
 def route_requests(spark, sf_dir):
-    judged = judge(spark, sf_dir)(split_requests(spark, sf_dir)).withColumn("route", chat.route(F.col("verdict")))
+    judged = judge(spark, sf_dir)(split_requests(spark, sf_dir))
+    judged = materialize(judged.withColumn("route", chat.route(F.col("verdict"))), "routed-requests")
     refused = chat.refusals(judged.filter("route = 'refuse'"), TOPIC)
     told = refused.select("request_id", "result", F.size("sources").cast("bigint").alias("n_sources"))
     passed = judged.filter("route = 'answer'").select(

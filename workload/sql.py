@@ -146,6 +146,10 @@ GATHERED = r"""SELECT request_id, string_agg(content, E'\n\n' ORDER BY rank) AS
 ORACLE: dict[str, str] = {
     "drain_once": f"""WITH {DOCS}, {PAGES}
 SELECT url, md5(content) AS content_md5 FROM docs UNION ALL SELECT url, md5(content) FROM web""",
+    "ingest_stream": f"""WITH {DOCS}, {PAGES},
+both_docs AS (SELECT * FROM docs UNION ALL SELECT * FROM web), {chunks('both_docs')}
+SELECT '{NAMESPACE}' AS namespace, id, md5(CAST(to_json({{'content': content, 'url': url, 'id': id}}) AS VARCHAR)) AS metadata_md5
+FROM chunks""",
     "merged_corpus": f"""WITH {DOCS}, {PAGES}
 SELECT url, md5(content) AS content_md5 FROM docs UNION ALL SELECT url, md5(content) FROM web""",
     "chunk_ids": f"WITH {DOCS}, {chunks()} SELECT id, url, chunk_no FROM chunks",

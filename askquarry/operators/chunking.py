@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from askquarry.functions.arrays import evaluate_once
 from askquarry.functions.text import sentences, words
 
-# Chunk limit and overlap, in tokens.
+# Chunk limit, overlap and the answering model's window, in tokens.
 CHUNK_TOKENS = 500
 CHUNK_OVERLAP = 10
+MODEL_WINDOW = 4096
 
 
 def window_chunks(

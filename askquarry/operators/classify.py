@@ -33,6 +33,7 @@ def nearest_class(df: DataFrame, centroids: DataFrame, values: str, out: str = "
     unit = evaluate_once(length, lambda n: F.transform("centroid", lambda x: x / n))
     classes = (
         centroids.filter(length > 0)
+        .limit(MAX_CLASSES + 1)
         .select("label", unit.alias("unit"))
         .agg(F.sort_array(F.collect_list(F.struct("label", "unit"))).alias("all"), few.alias("checked"))
         .select(F.when(F.col("checked").isNull(), F.col("all")).alias("all"))

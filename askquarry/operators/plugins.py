@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-# Texts per model request, and answer length in tokens.
+# Texts per embedding request; answer length in tokens, for a plain
+# question and for the stages of the answer flow.
 EMBED_BATCH = 150
+PLAIN_ANSWER_TOKENS = 500
 ANSWER_TOKENS = 200
 
 TextsTo = Callable[[list[str]], list]
+LanguageModel = Callable[[list[str], int], list[str]]
 
 
 def rebatch(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
@@ -83,10 +86,23 @@ def embed_texts(
 
 
 def generate_texts(
-    df: DataFrame, prompt: str, factory: Callable[[], TextsTo], out: str = "answer", batch_size: int = 16
+    df: DataFrame,
+    prompt: str,
+    factory: Callable[[], LanguageModel],
+    out: str = "answer",
+    max_tokens: int = ANSWER_TOKENS,
+    batch_size: int = 16,
 ) -> DataFrame:
-    """Run a caller-supplied language model over a prompt column."""
-    return call_in_batches(df, prompt, factory, out, T.StringType(), batch_size)
+    """Run a caller-supplied language model over a prompt column.
+
+    The model is called with the prompts and the longest answer it may give.
+    """
+
+    def limited() -> TextsTo:
+        model = factory()
+        return lambda prompts: model(prompts, max_tokens)
+
+    return call_in_batches(df, prompt, limited, out, T.StringType(), batch_size)
 
 
 def extract_text(

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from askquarry.functions import prompts
 from askquarry.functions.hashing import DEFAULT_DIM, hash_embed
-from askquarry.functions.text import first_sentence
+from askquarry.functions.text import first_sentence, words
 from askquarry.operators import chat, search
-from askquarry.operators.plugins import TextsTo, generate_texts
+from askquarry.operators.chunking import within_budget
+from askquarry.operators.plugins import ANSWER_TOKENS, LanguageModel, TextsTo, embed_texts, generate_texts
 from askquarry.session import materialize
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -23,8 +24,18 @@ def hashed(text: str, out: str, dim: int = DEFAULT_DIM) -> Stage:
     return lambda df: hash_embed(df, text, out, dim)
 
 
+def model_embedding(factory: Callable[[], TextsTo], model: str, dim: int, text: str, out: str) -> Stage:
+    """Stage that embeds with a caller-supplied model and writes the vectors out."""
+    return lambda df: materialize(embed_texts(df, text, factory, model, dim, out), out)
+
+
 def model_stage(
-    factory: Callable[[], TextsTo], template: str, out: str, slots: dict[str, str] | None = None, batch_size: int = 16
+    factory: Callable[[], LanguageModel],
+    template: str,
+    out: str,
+    slots: dict[str, str] | None = None,
+    max_tokens: int = ANSWER_TOKENS,
+    batch_size: int = 16,
 ) -> Stage:
     """Stage that renders a prompt and asks a caller-supplied language model.
 
@@ -37,7 +48,7 @@ def model_stage(
         if "context" in df.columns:
             values["context"] = F.col("context")
         prompt = prompts.render(template, **values, **(slots or {}))
-        asked = generate_texts(df.withColumn("_prompt", prompt), "_prompt", factory, out, batch_size)
+        asked = generate_texts(df.withColumn("_prompt", prompt), "_prompt", factory, out, max_tokens, batch_size)
         return materialize(asked.drop("_prompt"), out)
 
     return run
@@ -59,7 +70,8 @@ class AnswerPlan:
 
     ``judge`` adds ``verdict`` from question and history, ``rewrite`` adds ``query``,
     ``embed`` adds ``vector`` from ``query``, ``answer`` adds ``answer`` from
-    context, question and history. ``find`` runs the search.
+    context, question and history. ``find`` runs the search. ``context_words``
+    limits the documents put into the prompt, so that it fits the model's window.
     """
 
     judge: Stage
@@ -69,6 +81,7 @@ class AnswerPlan:
     answer: Stage = first_sentence_answer
     k: int = search.DEFAULT_K
     always_rewrite: bool = False
+    context_words: int | None = None
     find: Callable[[DataFrame, DataFrame, int], DataFrame] = search.topk
 
 
@@ -93,7 +106,11 @@ def answer_relevant(requests: DataFrame, records: DataFrame, plan: AnswerPlan) -
 
     A request for which nothing was found is still answered, from an empty context.
     """
-    found = chat.gather_documents(retrieve(rewrite_queries(requests, plan), records, plan))
+    matches = retrieve(rewrite_queries(requests, plan), records, plan)
+    if plan.context_words is not None:
+        sized = matches.withColumn("n_words", F.size(words(F.col("content"))))
+        matches = within_budget(sized, "request_id", "rank", "n_words", plan.context_words)
+    found = chat.gather_documents(matches)
     ready = requests.join(found, "request_id", "left").withColumns(
         {
             "context": F.coalesce("context", F.lit("")),

@@ -7,7 +7,6 @@ import math
 import re
 
 from askquarry.functions.hashing import DEFAULT_DIM
-from askquarry.operators.plugins import ANSWER_TOKENS
 
 WORD_BREAKS = re.compile(r"[ \t\r\n\f]+")
 
@@ -44,8 +43,8 @@ def hash_model():
 def echo_model():
     """Answers with the first words of the prompt's last line."""
 
-    def answer(prompt: str) -> str:
+    def answer(prompt: str, max_tokens: int) -> str:
         last = prompt.rsplit("\n", 1)[-1]
-        return " ".join([w for w in WORD_BREAKS.split(last) if w][:ANSWER_TOKENS])
+        return " ".join([w for w in WORD_BREAKS.split(last) if w][:max_tokens])
 
-    return lambda prompts: [answer(p) for p in prompts]
+    return lambda prompts, max_tokens: [answer(p, max_tokens) for p in prompts]

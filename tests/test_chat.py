@@ -138,7 +138,7 @@ def recording_model(log):
     """A model plug-in that writes each prompt it is sent to a file."""
 
     def factory():
-        def call(batch):
+        def call(batch, max_tokens):
             with open(log, "a") as out:
                 out.writelines(json.dumps(p) + "\n" for p in batch)
             return [f"answer {len(p)}" for p in batch]
@@ -172,6 +172,18 @@ def test_model_stages_see_only_the_rows_they_need(spark, tmp_path):
     assert len(calls["answer"]) == 2  # never for a refused request
 
 
+def test_context_limit_drops_the_lowest_ranks(spark):
+    wide, narrow = (
+        answers.answer_relevant(
+            chat.split_messages(requests(spark, THREE)),
+            corpus(spark),
+            answers.AnswerPlan(judge=word_judge, topic="engines", context_words=limit),
+        ).first()["sources"]
+        for limit in (100, 13)
+    )
+    assert len(wide) == 3 and narrow == wide[:2]
+
+
 def test_empty_corpus_still_answers(spark):
     plan = answers.AnswerPlan(judge=word_judge, topic="engines")
     rows = answers.answer_requests(requests(spark, ONE), corpus(spark).filter("id = 'none'"), plan).collect()

@@ -29,6 +29,10 @@ MIN_DOCS = 5
 BUDGET = 1200
 
 
+def label_space():
+    return F.concat(F.lit("label-"), F.col("label").cast("string"))
+
+
 def query(fn: Query) -> Query:
     """Register under the function's name, less a trailing underscore."""
 
@@ -50,8 +54,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as (url, content)."""
+    return spread(stored_documents(spark, sf_dir))
+
+
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without spreading, for queries that do little per row."""
     url = F.concat_ws("/", "source", F.col("doc_id").cast("string"))
-    return spread(corpus.documents(table(spark, sf_dir, "documents"), url, "text"))
+    return corpus.documents(table(spark, sf_dir, "documents"), url, "text")
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +83,17 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def labelled_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors as chunk rows with their label."""
+    return vectors(spark, sf_dir).select(
+        F.col("id").cast("string").alias("id"),
+        F.concat(F.lit("class/"), F.col("label").cast("string")).alias("url"),
+        F.concat(F.lit("vector "), F.col("id").cast("string")).alias("content"),
+        F.col("values").alias("embedding"),
+        "label",
+    )
+
+
 def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One query vector per class: its mean."""
     means = classify.class_centroids(vectors(spark, sf_dir), "label", "values")
@@ -160,24 +180,17 @@ def chunk_ids(spark, sf_dir):
 
 @query
 def vector_upsert(spark, sf_dir):
-    rows = vectors(spark, sf_dir).select(
-        F.col("id").cast("string").alias("id"),
-        F.concat(F.lit("class/"), F.col("label").cast("string")).alias("url"),
-        F.concat(F.lit("vector "), F.col("id").cast("string")).alias("content"),
-        F.col("values").alias("embedding"),
-        "label",
-    )
-    space = F.concat(F.lit("label-"), F.col("label").cast("string"))
+    rows = labelled_chunks(spark, sf_dir)
     store = VectorTable(spark, scratch_path(spark, "vector-table"))
-    store.upsert(records.vector_records(rows, space))
+    store.upsert(records.vector_records(rows, label_space()))
     changed = rows.filter("label = 3").withColumns(
         {"embedding": F.reverse("embedding"), "content": F.concat(F.lit("revised "), F.col("content"))}
     )
     added = rows.filter("label = 5").withColumn("id", F.concat(F.lit("copy-"), F.col("id")))
-    update = records.vector_records(changed.unionByName(added), space)
+    update = records.vector_records(changed.unionByName(added), label_space())
     load = store.upsert(update)
     store.upsert(update, load)  # a retried load changes nothing
-    store.delete(records.vector_records(rows.filter("label = 7"), space))
+    store.delete(records.vector_records(rows.filter("label = 7"), label_space()))
     live = store.current()
     return live.select(
         "namespace",
@@ -233,7 +246,7 @@ def ingest_stream(spark, sf_dir):
 
 @query
 def corpus_project(spark, sf_dir):
-    return documents(spark, sf_dir).select("url", F.length("content").cast("bigint").alias("n_chars"))
+    return stored_documents(spark, sf_dir).select("url", F.length("content").cast("bigint").alias("n_chars"))
 
 
 @query
@@ -276,7 +289,7 @@ def payload_lookup(spark, sf_dir):
 
 @query
 def original_doc_json(spark, sf_dir):
-    return documents(spark, sf_dir).select("url", records.original_doc_json(F.col("content")).alias("metadata"))
+    return stored_documents(spark, sf_dir).select("url", records.original_doc_json(F.col("content")).alias("metadata"))
 
 
 @query
@@ -441,9 +454,11 @@ def topk_ivf_probed(spark, sf_dir):
 
 @query
 def topk_namespace(spark, sf_dir):
-    rows = vectors(spark, sf_dir).withColumn("namespace", F.concat(F.lit("label-"), F.col("label").cast("string")))
-    inside = search.in_namespace(rows, "label-3")
-    return search.topk(spread(inside), vector_queries(spark, sf_dir), 5, dim=DEFAULT_DIM)
+    """Search within one namespace of a stored vector table; its other folders are not read."""
+    store = VectorTable(spark, scratch_path(spark, "namespaces"))
+    store.upsert(records.vector_records(labelled_chunks(spark, sf_dir), label_space()))
+    inside = store.current("label-3").withColumn("id", F.col("id").cast("bigint"))
+    return search.topk(inside, vector_queries(spark, sf_dir), 5, dim=DEFAULT_DIM)
 
 
 def _benchmark_queries(spark, sf_dir) -> DataFrame:
@@ -488,7 +503,7 @@ def assemble_messages(spark, sf_dir):
 
 @query
 def late_turns(spark, sf_dir):
-    """The two outputs together: kept turns by count, and the turns beyond a limit of five."""
+    """Turns beyond a limit of five messages per conversation."""
     late = chat.late_turns(table(spark, sf_dir, "conversations"), max_messages=5)
     return late.select("conv_id", "turn", "reason")
 
@@ -540,7 +555,9 @@ def generate_answers(spark, sf_dir):
     """A plug-in model over plain prompts; the stand-in gives back the prompt's last line, cut short."""
     rows = split_requests(spark, sf_dir)
     prompt = rows.select("request_id", prompts.render(prompts.PLAIN, question=F.col("question")).alias("prompt"))
-    return plugins.generate_texts(prompt, "prompt", standins.echo_model).select("request_id", "answer")
+    return plugins.generate_texts(
+        prompt, "prompt", standins.echo_model, max_tokens=plugins.PLAIN_ANSWER_TOKENS
+    ).select("request_id", "answer")
 
 
 @query

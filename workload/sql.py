@@ -6,7 +6,7 @@ import re
 
 from askquarry.functions import prompts
 from askquarry.functions.text import ENTITIES, TIDY_PATTERNS, html_patterns
-from askquarry.plans.standins import ANSWER_TOKENS
+from askquarry.operators.plugins import PLAIN_ANSWER_TOKENS
 from workload.queries import BUDGET, MIN_DOCS, NAMESPACE, QUESTION, TOPIC
 
 SPACE = r"[ \t\r\n\f]+"
@@ -295,7 +295,7 @@ SELECT request_id, CASE WHEN len(history) = 0 THEN 'empty_messages' ELSE 'ok' EN
     + " FROM s",
     "generate_answers": f"""WITH {REQUESTS},
 p AS (SELECT request_id, {render(prompts.PLAIN, question='question')} AS prompt FROM asked)
-SELECT request_id, array_to_string(({words("string_split(prompt, chr(10))[-1]")})[1 : {ANSWER_TOKENS}], ' ') AS answer
+SELECT request_id, array_to_string(({words("string_split(prompt, chr(10))[-1]")})[1 : {PLAIN_ANSWER_TOKENS}], ' ') AS answer
 FROM p""",
     "relevance_check": f"WITH {REQUESTS}, {JUDGED} SELECT request_id, verdict FROM judged",
     "centroid_classify": f"""WITH {VECTOR_ENTRIES}, {matches('cv', 'qv', 1)}

@@ -28,22 +28,6 @@ def norm(a: Column) -> Column:
     return F.sqrt(_total(F.transform(as_doubles(a), lambda x: x * x)))
 
 
-def score(a: Column, b: Column, metric: str = "cosine") -> Column:
-    """Similarity (cosine, dot) or distance (l2) of two vectors, null where undefined.
-
-    A zero vector has no cosine: dividing by a null norm keeps it out.
-    """
-    if metric == "dot":
-        raw = dot(a, b)
-    elif metric == "cosine":
-        raw = dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
-    elif metric == "l2":
-        raw = F.sqrt(_total(F.zip_with(as_doubles(a), as_doubles(b), lambda x, y: (x - y) * (x - y))))
-    else:
-        raise ValueError(f"unknown metric {metric!r}, expected one of {METRICS}")
-    return F.round(raw, SCORE_DIGITS)
-
-
 def closest_first(score_col: Column, metric: str = "cosine") -> Column:
     """Sort key that puts the best match first and undefined scores last."""
     return score_col.asc_nulls_last() if metric == "l2" else score_col.desc_nulls_last()

@@ -109,7 +109,7 @@ def build_cells(corpus: DataFrame, dim: int, n_cells: int, metric: str = "cosine
     rows = materialize(assigned, "cells")
     rows = rows.withColumn("values", F.col("values").alias("values", metadata=metadata or {}))
     stats = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n_rows"), F.max("gap").alias("radius"))
-    return CellIndex(rows, stats, centres, metric)
+    return CellIndex(rows, materialize(stats, "cell-stats"), centres, metric)
 
 
 def _train(sample: DataFrame, dim: int, n_cells: int, metric: str, seed: int) -> np.ndarray:

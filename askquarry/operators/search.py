@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from askquarry.functions.vectors import METRICS, SCORE_DIGITS, closest_first, score
+from askquarry.functions.vectors import METRICS, SCORE_DIGITS, closest_first
 from askquarry.operators.records import read_payload
 from askquarry.session import materialize
 
@@ -46,21 +46,6 @@ def check_model(queries: DataFrame, query_vector: str, corpus: DataFrame, values
             raise ModelMismatch(f"query {key} is {ours[key]!r}, corpus {key} is {theirs[key]!r}")
 
 
-def topk_one(
-    corpus: DataFrame, vector: list[float], k: int = 5, metric: str = "cosine", id: str = "id", values: str = "values"
-) -> DataFrame:
-    """The k best rows for one vector known to the driver, with all corpus columns.
-
-    Each task keeps k rows; there is no join and no full sort.
-    """
-    query = F.lit([float(x) for x in vector]).cast("array<double>")
-    fits = F.size(values) == len(vector)
-    value = F.nanvl(score(F.col(values), query, metric), F.lit(None).cast("double"))
-    scored = corpus.withColumn("score", F.when(fits, value))
-    # Null scores sort last, so dropping them after the limit loses nothing and scores once.
-    return scored.orderBy(closest_first(F.col("score"), metric), F.col(id)).limit(k).filter(F.col("score").isNotNull())
-
-
 def in_namespace(records: DataFrame, namespace: str) -> DataFrame:
     """Records of one namespace; on a table partitioned by it, other folders are not read."""
     return records.filter(F.col("namespace") == namespace)
@@ -112,39 +97,48 @@ class QuerySet:
             positions = np.asarray(positions)[rows]
         self.positions = np.asarray(positions)
         self.matrix, self.k, self.metric = matrix, k, metric
+        self.narrow = matrix.astype(np.float32)
         self.squares = np.einsum("ij,ij->i", matrix, matrix)
         self.floor = np.full(len(matrix), -np.inf)
         self.best: list[pd.DataFrame] = []
+        self.waiting = 0
 
     def offer(self, ids: np.ndarray, matrix: np.ndarray) -> None:
         if self.metric == "cosine":
             matrix, rows = _unit(matrix)
             ids = ids[rows]
         ids, matrix = _few_copies(ids, matrix, self.k)
+        squares, narrow = np.einsum("ij,ij->i", matrix, matrix), matrix.astype(np.float32)
         for r in range(0, len(matrix), ROW_SLICE):
+            rows = slice(r, r + ROW_SLICE)
             for q in range(0, len(self.matrix), QUERY_SLICE):
-                self._offer_slice(ids[r : r + ROW_SLICE], matrix[r : r + ROW_SLICE], q)
-
-    def _offer_slice(self, ids: np.ndarray, rows: np.ndarray, start: int) -> None:
-        qs = slice(start, min(start + QUERY_SLICE, len(self.matrix)))
+                self._offer_slice(ids[rows], matrix[rows], narrow[rows], squares[rows], q)
+            if self.waiting > 2 * self.k * len(self.matrix):
+                self._settle()
+
+    def _offer_slice(
+        self, ids: np.ndarray, rows: np.ndarray, narrow: np.ndarray, squares: np.ndarray, start: int
+    ) -> None:
+        """Keep the pairs that may reach the best k; single precision only preselects.
+
+        ``slack`` covers the rounding of the product and of the shown score. Until a
+        query has k matches, the k-th score within the slice stands in for its floor.
+        """
+        qs = slice(start, start + QUERY_SLICE)
         queries, floor = self.matrix[qs], self.floor[qs]
-        fast = queries @ rows.T
-        size = 1.0 + self.squares[qs].max(initial=0.0) + np.einsum("ij,ij->i", rows, rows).max(initial=0.0)
+        fast = self.narrow[qs] @ narrow.T
+        size = 1.0 + self.squares[qs].max(initial=0.0) + squares.max(initial=0.0)
         if self.metric == "l2":
-            fast = 2 * fast - self.squares[qs][:, None] - np.einsum("ij,ij->i", rows, rows)[None, :]
-        # The product only preselects; the slack covers its rounding and that of the shown score.
-        slack = 1e-8 * size
-        if len(rows) > self.k:
-            kth = np.partition(fast, len(rows) - self.k, axis=1)[:, len(rows) - self.k]
-            bar = np.maximum(kth, floor) - slack
-        else:
-            bar = floor - slack
-        q, r = np.nonzero(fast >= bar[:, None])
-        if not len(q):
-            return
-        self.best.append(pd.DataFrame({"q": q + start, "id": ids[r], "key": self._exact(queries[q], rows[r])}))
-        if sum(len(b) for b in self.best) > 4 * self.k * len(self.matrix) + 100_000:
-            self._settle()
+            fast = 2 * fast - (self.squares[qs][:, None] + squares[None, :]).astype(np.float32)
+        slack = 4 * rows.shape[1] * np.finfo(np.float32).eps * size
+        bar = floor
+        if len(rows) > self.k and not np.isfinite(floor).all():
+            bar = np.maximum(floor, np.partition(fast, len(rows) - self.k, axis=1)[:, len(rows) - self.k])
+        hits = np.flatnonzero(fast >= (bar - slack).astype(np.float32)[:, None])
+        if len(hits):
+            q, r = np.divmod(hits, len(rows))
+            self.best.append(pd.DataFrame({"q": q + start, "id": ids[r], "key": self._exact(queries[q], rows[r])}))
+            self.waiting += len(q)
 
     def _exact(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Closeness summed pair by pair, equal for equal vectors wherever they lie."""
@@ -158,7 +152,7 @@ class QuerySet:
         seen = pd.concat(self.best, ignore_index=True)
         seen = seen.sort_values(["q", "key", "id"], ascending=[True, False, True])
         top = seen.groupby("q", sort=False).head(self.k)
-        self.best = [top]
+        self.best, self.waiting = [top], 0
         full = top.groupby("q")["key"].agg(["size", "min"])
         full = full[full["size"] == self.k]
         worst = full["min"].to_numpy()
@@ -186,22 +180,21 @@ def _arrow(df: DataFrame, column: str) -> pa.DataType:
     return to_arrow_type(df.schema[column].dataType)
 
 
-def _result_schema(corpus: DataFrame, queries: DataFrame) -> T.StructType:
+def _result_schema(corpus: DataFrame, qid: T.DataType) -> T.StructType:
     return T.StructType(
         [
-            T.StructField("qid", queries.schema["qid"].dataType),
+            T.StructField("qid", qid),
             T.StructField("id", corpus.schema["id"].dataType),
             T.StructField("score", T.DoubleType()),
         ]
     )
 
 
-def _scan_broadcast(corpus: DataFrame, queries: DataFrame, table: pa.Table, dim: int, k: int, metric: str) -> DataFrame:
-    """Each task scans its corpus rows once against all queries."""
-    matrix, rows = _matrix(table.column("vector"), dim)
-    qids = _ids(table.column("qid"))[rows]
+def _scan(corpus: DataFrame, qids: np.ndarray, matrix: np.ndarray, qid: T.DataType, k: int, metric: str) -> DataFrame:
+    """Each task scans its corpus rows once against all queries, which travel by broadcast."""
+    dim = matrix.shape[1]
     shared = corpus.sparkSession.sparkContext.broadcast((qids, matrix))
-    id_type, q_type = _arrow(corpus, "id"), _arrow(queries, "qid")
+    id_type, q_type = _arrow(corpus, "id"), to_arrow_type(qid)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = QuerySet(*shared.value, k, metric)
@@ -210,7 +203,18 @@ def _scan_broadcast(corpus: DataFrame, queries: DataFrame, table: pa.Table, dim:
             found.offer(_ids(batch.column("id"))[kept], vectors)
         yield found.result(id_type, q_type)
 
-    return corpus.mapInArrow(run, _result_schema(corpus, queries))
+    return corpus.select("id", "values").mapInArrow(run, _result_schema(corpus, qid))
+
+
+def topk_one(corpus: DataFrame, vector: list[float], k: int = 5, metric: str = "cosine") -> DataFrame:
+    """The k best rows for one vector known to the driver, as ``(id, score)``, best first.
+
+    Each task passes on k rows; there is no shuffle and no full sort.
+    """
+    check_metric(metric)
+    matrix = np.array([vector], dtype=np.float64)
+    partial = _scan(corpus, np.array([0], dtype=object), matrix, T.LongType(), k, metric)
+    return partial.select("id", "score").orderBy(closest_first(F.col("score"), metric), "id").limit(k)
 
 
 def score_blocks(corpus: DataFrame, queries: DataFrame, keys: list[str], dim: int, k: int, metric: str) -> DataFrame:
@@ -229,7 +233,7 @@ def score_blocks(corpus: DataFrame, queries: DataFrame, keys: list[str], dim: in
         return pa.Table.from_batches([found.result(id_type, q_type)])
 
     return (
-        corpus.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(run, _result_schema(corpus, queries))
+        corpus.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(run, _result_schema(corpus, queries.schema["qid"].dataType))
     )
 
 
@@ -291,7 +295,9 @@ def topk(
     queries = materialize(queries.select("qid", "vector"), "query-vectors")
     limit = max(0, min(broadcast_queries, BROADCAST_BYTES // (8 * dim)))
     if queries.count() <= limit:
-        partial = _scan_broadcast(corpus, queries, queries.toArrow(), dim, k, metric)
+        table = queries.toArrow()
+        matrix, rows = _matrix(table.column("vector"), dim)
+        partial = _scan(corpus, _ids(table.column("qid"))[rows], matrix, queries.schema["qid"].dataType, k, metric)
     else:
         partial = _scan_blocks(corpus, queries, dim, k, metric, block_rows or rows_per_block(dim))
     return best_of(partial, k, metric)

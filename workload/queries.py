@@ -404,9 +404,8 @@ def embed_query(spark, sf_dir):
 def topk_single(spark, sf_dir):
     asked = spark.createDataFrame([(QUESTION,)], "question string")
     vector = hash_embed(asked, "question").first()["embedding"]
-    found = search.topk_one(document_records(spark, sf_dir), vector, 5)
-    payload = records.read_payload(F.col("metadata"))
-    return found.select("id", payload["url"].alias("url"), "score")
+    rows = document_records(spark, sf_dir)
+    return search.with_payload(search.topk_one(rows, vector, 5), rows).select("id", "url", "score")
 
 
 def _vector_search(spark, sf_dir, metric: str) -> DataFrame:

@@ -179,11 +179,12 @@ def _visit(index: CellIndex, routed: DataFrame, dim: int, k: int, block_rows: in
     def numbers(n: str):
         return F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
 
+    block, part = F.pmod(F.xxhash64("id"), "blocks"), F.pmod(F.xxhash64("qid"), "parts")
     left = rows.join(layout, "cell").select(
-        "id", "values", "cell", F.pmod(F.xxhash64("id"), "blocks").alias("block"), F.explode(numbers("parts")).alias("part")
+        "id", "values", "cell", block.alias("block"), F.explode(numbers("parts")).alias("part")
     )
     right = routed.join(layout, "cell").select(
-        "qid", "vector", "cell", F.pmod(F.xxhash64("qid"), "parts").alias("part"), F.explode(numbers("blocks")).alias("block")
+        "qid", "vector", "cell", part.alias("part"), F.explode(numbers("blocks")).alias("block")
     )
     return score_blocks(left, right, ["cell", "block", "part"], dim, k, index.metric)
 

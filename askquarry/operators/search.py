@@ -232,9 +232,8 @@ def score_blocks(corpus: DataFrame, queries: DataFrame, keys: list[str], dim: in
         found.offer(_ids(left.column("id"))[kept], vectors)
         return pa.Table.from_batches([found.result(id_type, q_type)])
 
-    return (
-        corpus.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(run, _result_schema(corpus, queries.schema["qid"].dataType))
-    )
+    schema = _result_schema(corpus, queries.schema["qid"].dataType)
+    return corpus.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(run, schema)
 
 
 def rows_per_block(dim: int) -> int:

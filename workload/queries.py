@@ -110,7 +110,8 @@ def split_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def judge(spark: SparkSession, sf_dir: str) -> answers.Stage:
     """Verdict stage: is the question closer to documents of good quality than to the others?"""
-    graded = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).join(table(spark, sf_dir, "labels"), "doc_id").select("text", "quality")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    graded = docs.join(table(spark, sf_dir, "labels"), "doc_id").select("text", "quality")
     centroids = classify.class_centroids(hash_embed(graded, "text", "values"), "quality", "values")
 
     def run(df: DataFrame) -> DataFrame:

@@ -148,7 +148,8 @@ ORACLE: dict[str, str] = {
 SELECT url, md5(content) AS content_md5 FROM docs UNION ALL SELECT url, md5(content) FROM web""",
     "ingest_stream": f"""WITH {DOCS}, {PAGES},
 both_docs AS (SELECT * FROM docs UNION ALL SELECT * FROM web), {chunks('both_docs')}
-SELECT '{NAMESPACE}' AS namespace, id, md5(CAST(to_json({{'content': content, 'url': url, 'id': id}}) AS VARCHAR)) AS metadata_md5
+SELECT '{NAMESPACE}' AS namespace, id,
+       md5(CAST(to_json({{'content': content, 'url': url, 'id': id}}) AS VARCHAR)) AS metadata_md5
 FROM chunks""",
     "merged_corpus": f"""WITH {DOCS}, {PAGES}
 SELECT url, md5(content) AS content_md5 FROM docs UNION ALL SELECT url, md5(content) FROM web""",
@@ -193,7 +194,9 @@ SELECT url, md5(content) AS text_md5, CASE WHEN content IS NULL THEN 'ValueError
 SELECT url, count(*) AS n_chunks FROM chunks GROUP BY url""",
     "chunk_window": f"WITH {DOCS}, {chunks()} SELECT url, chunk_no, content FROM chunks",
     "chunk_sentences": f"""WITH RECURSIVE {DOCS},
-sents AS (SELECT url, generate_subscripts(s, 1) AS pos, unnest(s) AS s FROM (SELECT url, {sentences('content')} AS s FROM docs)),
+sents AS (
+  SELECT url, generate_subscripts(s, 1) AS pos, unnest(s) AS s
+  FROM (SELECT url, {sentences('content')} AS s FROM docs)),
 cuts AS (
   SELECT url, pos, cut, w[500 * cut + 1 : 500 * cut + 500] AS w
   FROM (SELECT url, pos, w, unnest(range(CAST(ceil(len(w) / 500.0) AS BIGINT))) AS cut
@@ -202,7 +205,7 @@ counted AS (
   SELECT url, row_number() OVER (PARTITION BY url ORDER BY pos, cut) - 1 AS i, len(w) AS n, array_to_string(w, ' ') AS s
   FROM cuts),
 piece AS MATERIALIZED (
-  SELECT *, sum(n) OVER (PARTITION BY url ORDER BY i) AS upto, sum(n) OVER (PARTITION BY url ORDER BY i) - n AS before FROM counted),
+  SELECT *, sum(n) OVER (PARTITION BY url ORDER BY i) AS upto, upto - n AS before FROM counted),
 lead AS MATERIALIZED (
   SELECT p.url, p.i, count(b.i) AS lead
   FROM piece p LEFT JOIN piece b
@@ -281,7 +284,8 @@ SELECT request_id, len(history) AS n_messages, CAST(to_json(history) AS VARCHAR)
 SELECT request_id, CASE WHEN len(history) = 0 THEN 'empty_messages' ELSE 'ok' END AS outcome FROM asked""",
     "render_prompt": "WITH "
     + REQUESTS
-    + ", s AS (SELECT request_id, question, CAST(to_json(history) AS VARCHAR) AS chat_history FROM asked) SELECT request_id, "
+    + ", s AS (SELECT request_id, question, CAST(to_json(history) AS VARCHAR) AS chat_history FROM asked) "
+    + "SELECT request_id, "
     + ", ".join(
         render(t, question="question", chat_history="chat_history", topic=text(TOPIC), context="question") + f" AS {n}"
         for n, t in [

@@ -35,9 +35,15 @@ class VectorTable:
         done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/load=*/_SUCCESS")) or []
         return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
 
-    def upsert(self, records: DataFrame, load: int | None = None) -> int:
-        """Add or replace records; ids must be unique within one load."""
-        return self._write(records.select(*VECTOR_RECORD.names, F.lit(False).alias("deleted")), load)
+    def upsert(self, records: DataFrame, load: int | None = None, gather: bool = False) -> int:
+        """Add or replace records; ids must be unique within one load.
+
+        Written as they come, without a shuffle. ``gather`` first brings each
+        namespace together, for loads with many namespaces, which would else leave
+        a file per task and namespace; large namespaces are split again.
+        """
+        rows = records.select(*VECTOR_RECORD.names, F.lit(False).alias("deleted"))
+        return self._write(rows.hint("rebalance", "namespace") if gather else rows, load)
 
     def delete(self, keys: DataFrame, load: int | None = None) -> int:
         """Remove the records with these ``(namespace, id)`` pairs."""
@@ -53,8 +59,7 @@ class VectorTable:
     def _write(self, rows: DataFrame, load: int | None) -> int:
         if load is None:
             load = max(self.loads(), default=-1) + 1
-        # Rebalancing splits a namespace that holds much of the load over many files.
-        rows.hint("rebalance", "namespace").write.mode("overwrite").partitionBy("namespace").parquet(self._path(load))
+        rows.write.mode("overwrite").partitionBy("namespace").parquet(self._path(load))
         return load
 
     def _read(self, loads: list[int]) -> DataFrame:
@@ -88,7 +93,7 @@ class VectorTable:
     def compact(self, root: str) -> VectorTable:
         """Write the live records as the single load of a fresh table."""
         fresh = VectorTable(self.spark, root, self.value_metadata)
-        fresh.upsert(self.current(), 0)
+        fresh.upsert(self.current(), 0, gather=True)
         return fresh
 
 

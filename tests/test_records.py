@@ -112,3 +112,11 @@ def test_boilerplate(spark):
     cleaned = {r["url"]: r["content"] for r in drop_lines(docs, lines, "url").collect()}
     assert cleaned["d3"] == "title 3\nbody 3" and cleaned["e"] == "" and cleaned["n"] is None
     assert len(cleaned) == len(rows)
+
+
+def test_plain_and_gathered_loads_agree(spark):
+    rows = R.vector_records(chunk_rows(spark, [("1", "u", "t", [1.0]), ("2", "u", "t", [2.0])]), F.col("id"))
+    for gather in (False, True):
+        table = VectorTable(spark, scratch_path(spark, "vt"))
+        table.upsert(rows, gather=gather)
+        assert live(table) == [("1", "1", [1.0]), ("2", "2", [2.0])]

@@ -183,7 +183,7 @@ def chunk_ids(spark, sf_dir):
 def vector_upsert(spark, sf_dir):
     rows = labelled_chunks(spark, sf_dir)
     store = VectorTable(spark, scratch_path(spark, "vector-table"))
-    store.upsert(records.vector_records(rows, label_space()))
+    store.upsert(records.vector_records(rows, label_space()), gather=True)
     changed = rows.filter("label = 3").withColumns(
         {"embedding": F.reverse("embedding"), "content": F.concat(F.lit("revised "), F.col("content"))}
     )
@@ -456,7 +456,7 @@ def topk_ivf_probed(spark, sf_dir):
 def topk_namespace(spark, sf_dir):
     """Search within one namespace of a stored vector table; its other folders are not read."""
     store = VectorTable(spark, scratch_path(spark, "namespaces"))
-    store.upsert(records.vector_records(labelled_chunks(spark, sf_dir), label_space()))
+    store.upsert(records.vector_records(labelled_chunks(spark, sf_dir), label_space()), gather=True)
     inside = store.current("label-3").withColumn("id", F.col("id").cast("bigint"))
     return search.topk(inside, vector_queries(spark, sf_dir), 5, dim=DEFAULT_DIM)
 

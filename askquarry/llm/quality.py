@@ -57,10 +57,10 @@ def features(texts: list[bytes], buckets: int) -> Iterator[np.ndarray]:
             same = words[lag:] == words[:-lag]
             found.append(np.where(same, np.uint64(2 * lag), np.uint64(2 * lag + 1)))
         spaces = np.cumsum(blank)
-        grams, power = points, np.uint64(1)
+        grams = points
         for size in range(2, LONGEST + 1):
-            power = power * np.uint64(rolling.BASES[1])
-            grams = grams[:-1] + points[size - 1 :] * power
+            power = pow(rolling.BASES[1], size - 1, 1 << 64)
+            grams = grams[:-1] + points[size - 1 :] * np.uint64(power)
             n = len(grams)
             # white space at one edge only
             between = spaces[size - 2 : n + size - 2] == spaces[:n]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,9 +47,9 @@ class Stages:
         self.spark, self.root = spark, f"{scratch_root(spark)}/{operator}-{uuid.uuid4().hex}"
         self.count = 0
 
-    def save(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        (df.write.partitionBy(*by) if by else df.write).parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def path(self, name: str) -> str:
@@ -66,5 +67,8 @@ class Stages:
         self.release()
 
     def release(self) -> None:
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Let Spark's cleaner find finished jobs' shuffles: the first round frees Python's handles, the second what they held."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from askquarry.llm import rolling
 from askquarry.session import ship_package
@@ -151,7 +152,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part["doc"], pa.array(score)], names=["doc", "score"])
 
     rows = docs.select(F.struct("*").alias("doc"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
+    schema = T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:

@@ -12,7 +12,7 @@ from askquarry.llm.common import Stages
 from askquarry.session import ship_package
 
 #: Rows that one task balances together.
-CHUNK_ROWS = 50_000
+CHUNK_ROWS = 2_000
 #: A document is taken at most so often.
 MOST = 3
 #: Targets are broadcast up to so many sources, and joined beyond.

@@ -15,13 +15,9 @@ ANSWER = T.StructType(
     [T.StructField("result", T.StringType()), T.StructField("sources", T.ArrayType(T.StringType()))]
 )
 
-# A model window of 4096 tokens holds about this many messages at the very most
-# (role marker, content, separators), so no request above it can be asked.
-MAX_MESSAGES = 1_000
-
-
-def _numbered(turns: DataFrame, conversation: str, turn: str) -> DataFrame:
-    order = Window.partitionBy(conversation).orderBy(turn)
+def _numbered(turns: DataFrame, conversation: str, turn: str, role: str, content: str) -> DataFrame:
+    # in the order of the assembled messages, ties included
+    order = Window.partitionBy(conversation).orderBy(turn, role, content)
     return turns.withColumn("_position", F.row_number().over(order))
 
 
@@ -31,16 +27,15 @@ def assemble_messages(
     turn: str = "turn",
     role: str = "role",
     content: str = "text",
-    max_messages: int = MAX_MESSAGES,
+    max_messages: int | None = None,
 ) -> DataFrame:
-    """Turn rows to one ``messages`` array per conversation, in turn order.
+    """Turn rows to one ``messages`` array per conversation, in turn order; all of them unless a limit is asked for.
 
-    An array can only hold what a model could be given: the first
-    ``max_messages`` turns. The limit is applied before the shuffle, so a conversation
-    with very many turns does not gather in one task; ``late_turns`` returns
-    the rows beyond it.
+    With ``max_messages`` only the first ones are kept, before the shuffle; ``late_turns`` returns the others.
     """
-    kept = _numbered(turns, conversation, turn).filter(F.col("_position") <= max_messages)
+    kept = turns
+    if max_messages is not None:
+        kept = _numbered(turns, conversation, turn, role, content).filter(F.col("_position") <= max_messages)
     message = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(content).alias("content"))
     ordered = F.array_sort(F.collect_list(message))
     return kept.groupBy(conversation).agg(ordered.alias("_turns")).select(
@@ -51,16 +46,19 @@ def assemble_messages(
 
 
 def late_turns(
-    turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", max_messages: int = MAX_MESSAGES
+    turns: DataFrame,
+    max_messages: int,
+    conversation: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    content: str = "text",
 ) -> DataFrame:
     """The turns beyond the first ``max_messages`` of their conversation, with the reason.
 
-    Only conversations that are long enough send a row to the join.
+    Together with what ``assemble_messages`` keeps under the same limit these are all turns, also where several share a number.
     """
-    last = _numbered(turns, conversation, turn).filter(F.col("_position") <= max_messages)
-    last = last.filter(F.col("_position") == max_messages).select(conversation, F.col(turn).alias("_last"))
-    late = turns.join(last, conversation).filter(F.col(turn) > F.col("_last")).drop("_last")
-    return late.withColumn("reason", F.lit("history_too_long"))
+    late = _numbered(turns, conversation, turn, role, content).filter(F.col("_position") > max_messages)
+    return late.drop("_position").withColumn("reason", F.lit("history_too_long"))
 
 
 def requests_from_turns(
@@ -70,7 +68,7 @@ def requests_from_turns(
     role: str = "role",
     content: str = "text",
     asker: str = "user",
-    max_messages: int = MAX_MESSAGES,
+    max_messages: int | None = None,
 ) -> DataFrame:
     """One request per user turn: ``(request_id, messages)`` with all turns up to it."""
     whole = assemble_messages(turns, conversation, turn, role, content, max_messages)

@@ -7,7 +7,6 @@ and models are so built once per partition and never pickled.
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -131,7 +130,6 @@ def extract_text(
                     texts.append("\n".join(pages_of(raw.as_py())))
                     errors.append(None)
                 except Exception as problem:
-                    warnings.warn(f"document not readable: {problem}")
                     texts.append(None)
                     errors.append(f"{type(problem).__name__}: {problem}")
             full = pa.Table.from_batches([batch]).select(names)
@@ -157,14 +155,3 @@ def split_texts(
 def utf8_pages() -> Callable[[bytes], list[str]]:
     """Extractor for plain text; form feeds separate pages."""
     return lambda raw: raw.decode("utf-8").split("\f")
-
-
-def pdf_pages() -> Callable[[bytes], list[str]]:
-    """Extractor for PDF, where the pypdf package is installed."""
-    import io
-
-    try:
-        from pypdf import PdfReader
-    except ImportError as missing:
-        raise RuntimeError("PDF extraction needs the pypdf package on the executors") from missing
-    return lambda raw: [page.extract_text() for page in PdfReader(io.BytesIO(raw)).pages]

@@ -121,20 +121,24 @@ class QuerySet:
     ) -> None:
         """Keep the pairs that may reach the best k; single precision only preselects.
 
-        ``slack`` covers the rounding of the product and of the shown score. Until a
-        query has k matches, the k-th score within the slice stands in for its floor.
+        ``slack`` covers each pair's rounding of the product and of the shown score. Until a
+        query has k matches, the k-th score within the slice stands in for its floor. Pairs
+        beyond single precision are always kept.
         """
         qs = slice(start, start + QUERY_SLICE)
         queries, floor = self.matrix[qs], self.floor[qs]
-        fast = self.narrow[qs] @ narrow.T
-        size = 1.0 + self.squares[qs].max(initial=0.0) + squares.max(initial=0.0)
-        if self.metric == "l2":
-            fast = 2 * fast - (self.squares[qs][:, None] + squares[None, :]).astype(np.float32)
-        slack = 4 * rows.shape[1] * np.finfo(np.float32).eps * size
+        with np.errstate(over="ignore", invalid="ignore"):
+            fast = (self.narrow[qs] @ narrow.T).astype(np.float64)
+            both = self.squares[qs][:, None] + squares[None, :]
+            if self.metric == "l2":
+                fast = 2 * fast - both
+            slack = 4 * rows.shape[1] * np.finfo(np.float32).eps * (1.0 + both)
+            sure = np.isfinite(fast) & np.isfinite(slack)
+            least, most = np.where(sure, fast - slack, -np.inf), np.where(sure, fast + slack, np.inf)
         bar = floor
         if len(rows) > self.k and not np.isfinite(floor).all():
-            bar = np.maximum(floor, np.partition(fast, len(rows) - self.k, axis=1)[:, len(rows) - self.k])
-        hits = np.flatnonzero(fast >= (bar - slack).astype(np.float32)[:, None])
+            bar = np.maximum(floor, np.partition(least, len(rows) - self.k, axis=1)[:, len(rows) - self.k])
+        hits = np.flatnonzero(most >= bar[:, None])
         if len(hits):
             q, r = np.divmod(hits, len(rows))
             self.best.append(pd.DataFrame({"q": q + start, "id": ids[r], "key": self._exact(queries[q], rows[r])}))

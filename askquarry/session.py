@@ -20,9 +20,16 @@ def _local_root() -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one is made only where none is set."""
-    root = spark.conf.get(CHECKPOINT_KEY, None) or _local_root()
-    return root.rstrip("/")
+    """The shared folder the cluster names; only a local master may do without one."""
+    root = spark.conf.get(CHECKPOINT_KEY, None)
+    if not root and not _one_machine(spark):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+    return (root or _local_root()).rstrip("/")
+
+
+def _one_machine(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -15,7 +15,7 @@ REQUEST = "request_id string, messages array<struct<role:string,content:string>>
 # Shapes of requests: no history, a follow-up, a longer dialogue, one ending with the assistant.
 ONE = [("user", "How does billing work?")]
 THREE = [("user", "What is Apache Spark?"), ("assistant", "An engine."), ("user", "Does it support streaming?")]
-FIVE = THREE + [("assistant", "Yes."), ("user", "Tell me more about its capabilities.")]
+FIVE = THREE + [("assistant", "Yes."), ("user", "And what comes after that?")]
 ENDS_WITH_ASSISTANT = THREE[:2]
 
 
@@ -95,10 +95,16 @@ def test_hot_conversation_is_split_without_loss(spark):
     assert sum(len(r["messages"]) for r in kept) + len(late) == len(rows)
 
 
-def test_long_conversations_are_cut_before_the_shuffle(spark):
-    plan = chat.assemble_messages(turns(spark, []).unionAll(turns(spark, [(1, 0, "user", "a")])))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("WindowGroupLimit") == 2 and text.count("Exchange hashpartitioning") == 1
+def test_every_user_turn_of_a_long_conversation_is_a_request(spark):
+    rows = [(1, t, "user", f"q{t}") for t in range(2500)]
+    assert chat.requests_from_turns(turns(spark, rows)).select("request_id").distinct().count() == 2500
+
+
+def test_tied_turns_are_kept_or_late(spark):
+    df = turns(spark, [(1, t, "user", f"q{k}") for k, t in enumerate([0, 1, 1, 1])])
+    kept = chat.assemble_messages(df, max_messages=2).first()["messages"]
+    late = chat.late_turns(df, max_messages=2).collect()
+    assert sorted([m["content"] for m in kept] + [r["text"] for r in late]) == ["q0", "q1", "q2", "q3"]
 
 
 def test_documents_in_rank_order_with_repeated_urls(spark):
@@ -125,7 +131,7 @@ def word_judge(df):
 
 
 def test_answer_flow(spark):
-    sky = THREE[:2] + [("user", "Why is the sky blue?")]
+    sky = THREE[:2] + [("user", "Who painted the old mill?")]
     plan = answers.AnswerPlan(judge=word_judge, topic="engines", k=2)
     rows = answers.answer_requests(requests(spark, ONE, THREE, sky), corpus(spark), plan)
     assert rows.select("result", "sources").schema.simpleString() == chat.ANSWER.simpleString()
@@ -152,7 +158,7 @@ def test_model_stages_see_only_the_rows_they_need(spark, tmp_path):
     logs = {name: str(tmp_path / name) for name in ("judge", "rewrite", "answer")}
     for log in logs.values():
         open(log, "w").close()
-    sky = [("user", "Why is the sky blue?")]
+    sky = [("user", "Who painted the old mill?")]
 
     def judge(df):
         seen = answers.model_stage(recording_model(logs["judge"]), prompts.RELEVANCE, "_ignored", {"topic": "engines"})

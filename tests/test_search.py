@@ -153,3 +153,11 @@ def test_plans(spark):
         assert "metadata" not in text
     one = plan(topk_one(rows, queries[1], 5))
     assert "TakeOrderedAndProject" in one and "Exchange" not in one
+
+
+def test_l2_beyond_single_precision_loses_no_row(spark):
+    rows = [(str(k), [float(np.float32(2e19) * (1 + k * 1e-3))] * 4) for k in range(5)]
+    corpus = spark.createDataFrame(rows, "id string, values array<float>")
+    asked = spark.createDataFrame([("q", rows[3][1])], "qid string, vector array<float>")
+    got = topk(corpus, asked, 3, metric="l2", dim=4).orderBy("rank").collect()
+    assert len(got) == 3 and got[0]["id"] == "3"

@@ -22,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Fixed parameters, shared with sql.py.
-QUESTION = "How can I track billing usage on my workspaces?"
+QUESTION = "Which shelf holds the maps of the coast?"
 TOPIC = "data platforms"
 NAMESPACE = "documents"
 MIN_DOCS = 5
@@ -133,22 +133,6 @@ def big(column: str):
 # --- sources and sinks --------------------------------------------------------------
 
 
-@query
-def list_files(spark, sf_dir):
-    files = corpus.list_files(spark, sf_dir, "*.parquet")
-    return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "length")
-
-
-@query
-def ingest_files(spark, sf_dir):
-    root = scratch_path(spark, "ingest-files")
-    drain.drain(drain.stream_files(spark, sf_dir, "*.parquet"), root, "files")
-    raw = drain.drained(spark, root, "files")
-    return raw.select(
-        F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "length", F.md5("content").alias("content_md5")
-    )
-
-
 @query
 def drain_once(spark, sf_dir):
     root = scratch_path(spark, "drain-once")

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from askquarry.functions.arrays import evaluate_once
+
 # The base patterns, in the order of their kinds.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -85,11 +87,30 @@ def _spans(text: Column, pattern: str, kind: str, value: int = 0) -> Column:
     regex = F.lit(pattern)
     lengths = F.transform(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, regex, 0).alias("hit"), F.regexp_extract_all(text, regex, value).alias("value")), lambda z: F.struct(F.length(z["gap"]).alias("gap"), F.length(z["hit"]).alias("hit"), z["value"].alias("value")))
 
+    def total(spans: Column) -> Column:
+        return F.aggregate(spans, F.lit(0), lambda acc, z: acc + z["gap"] + z["hit"])
+
     def placed(all_: Column) -> Column:
-        before = lambda i: F.aggregate(F.slice(all_, 1, i), F.lit(0), lambda acc, z: acc + z["gap"] + z["hit"])
-        return F.transform(all_, lambda z, i: F.struct((before(i) + z["gap"]).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), (before(i) + z["gap"] + z["hit"]).alias("end"), z["value"].alias("value")))
+        # sums up to a match by runs of about sqrt(n) matches, so that a text of very many stays cheap
+        run = F.ceil(F.sqrt(F.size(all_))).cast("int")
+        runs = F.transform(F.sequence(F.lit(1), F.size(all_), run), lambda k: F.slice(all_, k, run))
+        return evaluate_once(runs, in_runs)
+
+    def in_runs(runs: Column) -> Column:
+        def with_sums(sums: Column) -> Column:
+            before = lambda k: F.aggregate(F.slice(sums, 1, k), F.lit(0), lambda acc, x: acc + x)
+            return F.flatten(F.transform(runs, lambda spans, k: in_run(spans, before(k))))
+
+        return evaluate_once(F.transform(runs, total), with_sums)
+
+    def in_run(spans: Column, before: Column) -> Column:
+        return F.transform(spans, lambda z, i: one(z, before + total(F.slice(spans, 1, i))))
+
+    def one(z: Column, before: Column) -> Column:
+        start = before + z["gap"]
+        return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), (start + z["hit"]).alias("end"), z["value"].alias("value"))
 
-    found = F.filter(F.get(F.transform(F.array(lengths), placed), F.lit(0)), lambda s: s["end"].isNotNull())
+    found = F.filter(evaluate_once(lengths, placed), lambda s: s["end"].isNotNull())
     empty = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,value:string>>")
     return F.when(text.rlike(pattern), found).otherwise(empty)
 

@@ -171,6 +171,14 @@ def test_large_group_of_near_copies(spark):
     assert got.where("kept").count() == 1
 
 
+def test_secret_spans_of_very_many_matches(spark):
+    text = " ".join(f"é{i} {i:032x} secret={i:09d}" for i in range(1_500))
+    row = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    want = [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]{32,}", text)]
+    want += [(m.start(), "assign", m.end()) for m in re.finditer("secret=[0-9]+", text)]
+    assert [(s["start"], s["kind"], s["end"]) for s in row["base"]] == sorted(want)
+
+
 def test_secret_spans(docs):
     assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     want = []

@@ -24,7 +24,7 @@ from askquarry.llm.graph import components
 from askquarry.session import ship_package
 
 #: Sketches of one block that are compared with those of another in a task.
-BLOCK = 1024
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -140,14 +140,18 @@ def _promising(near: Near):
     return run
 
 
+def _similar(x: np.ndarray, y: np.ndarray, near: Near) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= near.percent * (len(x) + len(y) - both)
+
+
 def _confirmed(near: Near):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch["ea"], batch["eb"], strict=True):
                 x, y = (np.frombuffer(e.as_buffer(), "<u8") for e in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= near.percent * (len(x) + len(y) - both))
+                good.append(_similar(x, y, near))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
@@ -171,55 +175,103 @@ def _group_pairs(side: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[np.ndarra
                 yield start + i[i < j], start + j[i < j]
 
 
-def _blocks(near: Near):
-    """Pairs of nodes in different components of a group that may be similar; groups come in order, whole."""
-
-    def pairs(table: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        node, comp, n, side = (table[c].to_numpy() for c in ("node", "comp", "n", "side"))
-        regs = np.frombuffer(b"".join(table["regs"].to_pylist()), "<u2").reshape(table.num_rows, -1)
-        held, count = [], 0
-
-        def tested() -> pa.RecordBatch:
-            i, j = (np.concatenate(x) for x in zip(*held, strict=True))
-            fits = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= near.percent * np.maximum(n[i], n[j]))
-            i, j = i[fits], j[fits]
-            good = likely((regs[i] > regs[j]).sum(1), (regs[i] < regs[j]).sum(1), n[i], n[j], near) >= near.percent / 100 - near.margin
-            a, b = node[i[good]], node[j[good]]
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-        for found in _group_pairs(side, cuts):
-            held.append(found)
-            count += len(found[0])
-            if count >= 50_000:
-                yield tested()
-                held, count = [], 0
-        if held:
+GROUP = ["bucket", "i", "j", "what"]
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by group as tables of whole groups, with the rows at which groups begin and the last ends."""
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        keys = np.stack([table[c].to_numpy() for c in GROUP], 1)
+        cuts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+        if len(cuts) > 1:
+            yield table.slice(0, cuts[-1]), cuts
+        rest = table.slice(cuts[-1]).combine_chunks()
+    if rest is not None:
+        yield rest, np.array([0, rest.num_rows])
+
+
+def _likely_pairs(table: pa.Table, cuts: np.ndarray, near: Near) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of groups that may be similar and are in different components, likeliest first within a part.
+
+    A pair that meets in several buckets is named in that of its first equal band only.
+    """
+    comp, n, side, band = (table[c].to_numpy() for c in ("comp", "n", "side", "band"))
+    regs = np.frombuffer(b"".join(table["regs"].to_pylist()), "<u2").reshape(table.num_rows, -1)
+    held, count = [], 0
+
+    def tested() -> tuple[np.ndarray, np.ndarray]:
+        i, j = (np.concatenate(x) for x in zip(*held, strict=True))
+        fits = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= near.percent * np.maximum(n[i], n[j]))
+        i, j = i[fits], j[fits]
+        first = (regs[i] == regs[j]).reshape(len(i), near.bands, near.rows).all(2).argmax(1) == band[i]
+        i, j = i[first], j[first]
+        similar = likely((regs[i] > regs[j]).sum(1), (regs[i] < regs[j]).sum(1), n[i], n[j], near)
+        order = np.argsort(-similar, kind="stable")
+        order = order[similar[order] >= near.percent / 100 - near.margin]
+        return i[order], j[order]
+
+    for found in _group_pairs(side, cuts):
+        held.append(found)
+        count += len(found[0])
+        if count >= 50_000:
             yield tested()
+            held, count = [], 0
+    if held:
+        yield tested()
+
+
+def _paired(near: Near):
+    """The rows that are in any likely pair of their group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table])
-            keys = np.stack([table[c].to_numpy() for c in GROUP], 1)
-            cuts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
-            if len(cuts) > 1:
-                yield from pairs(table.slice(0, cuts[-1]), cuts)
-            rest = table.slice(cuts[-1]).combine_chunks()
-        if rest is not None:
-            yield from pairs(rest, np.array([0, rest.num_rows]))
+        for table, cuts in _whole_groups(batches):
+            seen = np.zeros(table.num_rows, bool)
+            for i, j in _likely_pairs(table, cuts, near):
+                seen[i] = seen[j] = True
+            yield from table.filter(pa.array(seen)).combine_chunks().to_batches()
 
     return run
 
 
-GROUP = ["bucket", "i", "j", "what"]
+def _joined(near: Near):
+    """Links that join the components of a group's likely pairs, confirmed on the full sets.
 
+    Pairs that earlier links of the task have joined already need no test and give no row,
+    so a task gives fewer links than it has rows.
+    """
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, near: Near, stages: Stages) -> DataFrame:
-    """Of pairs (a, b) of nodes, those similar on their full sets. The texts of nodes in pairs are read again, no others kept."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cuts in _whole_groups(batches):
+            node, comp = table["node"].to_numpy(), table["comp"].to_numpy().tolist()
+            sets = [np.frombuffer(e.as_buffer(), "<u8") for e in table["elements"]]
+            above: dict[int, int] = {}
+            links: list[tuple[int, int]] = []
+
+            def top(c: int) -> int:
+                while c in above:  # halving the path on the way
+                    above[c] = above.get(above[c], above[c])
+                    c = above[c]
+                return c
+
+            for left, right in _likely_pairs(table, cuts, near):
+                for i, j in zip(left.tolist(), right.tolist(), strict=True):
+                    ci, cj = top(comp[i]), top(comp[j])
+                    if ci != cj and _similar(sets[i], sets[j], near):
+                        above[ci] = cj
+                        links.append((i, j))
+            i, j = np.array(links, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], names=["a", "b"])
+
+    return run
+
+
+def _elements(nodes: DataFrame, sets: DataFrame, docs: DataFrame, near: Near, stages: Stages) -> DataFrame:
+    """(node, elements): the full sets of distinct nodes. Their texts are read again, no others kept."""
     wanted = stages.save(nodes.join(sets, "node").select("node", "k1", "k2"), "wanted")
     text = F.col("text").cast("string")
     texts = docs.select(*text_key(text), text.alias("text")).join(wanted, ["k1", "k2"]).select("node", ascii_lower(F.col("text")).alias("text"))
@@ -232,6 +284,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, near: Near, st
     elements = texts.mapInArrow(run, "node long, elements binary").groupBy("node").agg(F.first("elements").alias("elements"))
     elements = stages.save(elements, "elements")
     stages.release()
+    return elements
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, near: Near, stages: Stages) -> DataFrame:
+    """Of pairs (a, b) of nodes, those similar on their full sets."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    elements = _elements(nodes, sets, docs, near, stages)
     both = pairs.join(elements.toDF("a", "ea"), "a").join(elements.toDF("b", "eb"), "b")
     links = stages.save(both.mapInArrow(_confirmed(near), "a long, b long"), "links")
     stages.drop(elements)
@@ -243,8 +302,9 @@ def near_components(docs: DataFrame, near: Near, stages: Stages) -> DataFrame:
 
     Equal sets are one node; without words node and root are null. First all of a bucket are held against its
     first node. Buckets whose nodes are then in one component are done: their other pairs
-    cannot change it. In the others every pair between different components is estimated: the largest component's nodes
-    stay in blocks and the rest visit them, so a big group of copies is moved once, not as pairs. No link is lost but
+    cannot change it. In the others every pair between different components is estimated within a task: the largest component's nodes
+    stay in blocks and the rest visit them. Only rows of likely pairs meet again, with their full sets, and the
+    task confirms pairs until its components are joined; pairs are never rows. No link is lost but
     by the sketch's stated chances.
     """
     spark = docs.sparkSession
@@ -257,9 +317,9 @@ def near_components(docs: DataFrame, near: Near, stages: Stages) -> DataFrame:
     sets = stages.save(sets, "sets")
     stages.release()
 
-    banded = sets.select("node", "n", F.explode("bands").alias("bucket"))
+    banded = sets.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
     hubs = banded.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
-    members = stages.save(banded.join(hubs.select("bucket", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), "size"), "bucket"), "members")
+    members = stages.save(banded.join(hubs.select("bucket", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "bucket"), "members")
     stages.release()
     fits = 100 * F.least("n", "hub_n") >= near.percent * F.greatest("n", "hub_n")
     stars = members.where((F.col("node") != F.col("hub")) & fits).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
@@ -269,7 +329,7 @@ def near_components(docs: DataFrame, near: Near, stages: Stages) -> DataFrame:
     links = _verified(tried, sets, docs, near, stages)
 
     label = components(links, stages)
-    placed = members.join(label.select("node", "root"), "node", "left").select("bucket", "node", "n", "size", F.coalesce("root", "node").alias("comp"))
+    placed = members.join(label.select("node", "root"), "node", "left").select("bucket", "band", "node", "n", F.coalesce("root", "node").alias("comp"))
     placed = stages.save(placed, "placed")
     shares = placed.groupBy("bucket", "comp").agg(F.count("*").alias("share"))
     largest = shares.groupBy("bucket").agg(F.max(F.struct("share", "comp")).alias("m"), F.sum("share").alias("of"))
@@ -283,11 +343,18 @@ def near_components(docs: DataFrame, near: Near, stages: Stages) -> DataFrame:
     among = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("rests") - 1), lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j"), F.lit(1).alias("what"), F.when(k >= F.col("own"), 1).otherwise(2).alias("side")))
     hosts = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("rests") - 1), lambda k: F.struct(k.alias("i"), F.col("own").alias("j"), F.lit(0).alias("what"), F.lit(0).alias("side")))
     left = left.withColumn("own", own).withColumn("task", F.explode(F.when(in_main, hosts).otherwise(F.concat(visits, among))))
-    grouped = left.select("bucket", "node", "n", "comp", "regs", "task.*").repartition(*GROUP).sortWithinPartitions(*GROUP)
-    more = grouped.mapInArrow(_blocks(near), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
-    more = stages.save(more, "more")
-    if not more.isEmpty():
-        label = components(links.union(_verified(more, sets, docs, near, stages)), stages)
+    rows_of = left.select("bucket", "band", "node", "n", "comp", "regs", "task.*")
+
+    def by_group(table: DataFrame) -> DataFrame:
+        return table.repartition(*GROUP).sortWithinPartitions(*GROUP)
+
+    paired = stages.save(by_group(rows_of).mapInArrow(_paired(near), rows_of.schema), "paired")
+    stages.release()
+    if not paired.isEmpty():
+        elements = _elements(paired.select("node").distinct(), sets, docs, near, stages)
+        more = by_group(paired.join(elements, "node")).mapInArrow(_joined(near), "a long, b long")
+        label = components(links.union(stages.save(more, "more")), stages)
+        stages.drop(elements, paired)
     named = stages.save(sets.join(label, "node", "left").select("s1", "s2", "node", F.coalesce("root", "node").alias("root")), "named")
     return rows.select("doc_id", "k1", "k2", "s1", "s2", "n").join(named, ["s1", "s2"], "left").drop("s1", "s2")
 

@@ -25,6 +25,8 @@ from askquarry.session import ship_package
 
 #: Sketches of one block that are compared with those of another in a task.
 BLOCK = 512
+#: Row pairs of a group that are looked at together.
+PAIRS = 50_000
 
 
 @dataclass(frozen=True)
@@ -165,7 +167,7 @@ def _group_pairs(side: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[np.ndarra
         right = np.flatnonzero(own == 0)
         if not len(right):
             right = np.flatnonzero(own == 2)
-        step = max(1, 50_000 // max(1, len(right)))
+        step = max(1, PAIRS // max(1, len(right)))
         for k in range(0, len(left), step):
             part = left[k : k + step]
             if len(right):

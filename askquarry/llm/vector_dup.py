@@ -63,14 +63,28 @@ def _hashed(how: Stable):
     return run
 
 
+def join(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Give the rows i[k] and j[k] one root, and with them all rows that had theirs. Every root points at itself."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        # of a root's several smaller ones the least is taken; the pairs of the others stay apart until the next round
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
 GROUP = ["dims", "t", "cell", "i", "j"]
 
 
 def _compared(how: Stable):
     """Exact cosines of a group's pairs, counted in the first table that they share.
 
-    Gives, for each vector with links in the group, the links' number with copies, and the smallest node
-    reached by them.
+    Gives, for each vector with links in the group, the links' number with copies, and one node
+    of all that the group's links join with it.
     """
 
     def links(table: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -82,7 +96,7 @@ def _compared(how: Stable):
             x = flat[starts[first] : starts[last]].reshape(last - first, -1)
             x = x / np.abs(x).max(1, keepdims=True)
             x /= np.linalg.norm(x, axis=1, keepdims=True)
-            count, to = np.zeros(last - first, np.int64), node[first:last].copy()
+            count, root = np.zeros(last - first, np.int64), np.arange(last - first)
             for i, j in _group_pairs(side[first:last], np.array([0, last - first])):
                 near = np.einsum("ij,ij->i", x[i], x[j]) >= how.cosine
                 i, j = i[near], j[near]
@@ -93,22 +107,10 @@ def _compared(how: Stable):
                     i, j = i[apart], j[apart]
                 np.add.at(count, i, copies[first + j])
                 np.add.at(count, j, copies[first + i])
-                least = np.minimum(node[first + i], node[first + j])
-                # pointers to a smaller linked node; those of later pairs are smaller or equal
-                np.minimum.at(to, i, least)
-                np.minimum.at(to, j, least)
-                yield from _edges(node, first, i, j, to)
+                join(root, i, j)
             hit = np.flatnonzero(count)
             if len(hit):
-                yield pa.RecordBatch.from_arrays([pa.array(node[first + hit]), pa.array(to[hit]), pa.array(count[hit])], names=["a", "b", "links"])
-
-    def _edges(node: np.ndarray, first: int, i: np.ndarray, j: np.ndarray, to: np.ndarray) -> Iterator[pa.RecordBatch]:
-        # links whose ends point at different nodes join those
-        a, b = to[i], to[j]
-        apart = a != b
-        if apart.any():
-            pairs = np.unique(np.stack([a[apart], b[apart]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.zeros(len(pairs), np.int64))], names=["a", "b", "links"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[first + hit]), pa.array(node[first + root[hit]]), pa.array(count[hit])], names=["a", "b", "links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None

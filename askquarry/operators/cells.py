@@ -35,7 +35,6 @@ from askquarry.session import materialize
 
 # Centres are held by every task: at most this many bytes of them.
 CENTRE_BYTES = 64 * 1024 * 1024
-TRAINING_ROWS_PER_CELL = 256
 PUSHED_CELLS = 1_000
 DISTANCE_ENTRIES = 4_000_000
 
@@ -70,11 +69,18 @@ def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares - 2 * points @ centres.T, 0.0))
 
 
-def build_cells(corpus: DataFrame, dim: int, n_cells: int, metric: str = "cosine", seed: int = 7) -> CellIndex:
-    """Train centres on a bounded sample, then assign every row to its nearest one.
+def build_cells(
+    corpus: DataFrame,
+    dim: int,
+    n_cells: int,
+    metric: str = "cosine",
+    seed: int = 7,
+    training_rows: int | None = None,
+) -> CellIndex:
+    """Train centres on all rows, then assign every row to its nearest one.
 
-    The sample only places the centres; all rows are indexed. The index is a
-    written table, range-partitioned by cell and id: a large cell spans several
+    With ``training_rows`` about that many rows, drawn at random, place the centres; all rows are
+    indexed. The index is a written table, range-partitioned by cell and id: a large cell spans several
     files and a scan for few cells skips the others.
     """
     check_metric(metric)
@@ -84,10 +90,10 @@ def build_cells(corpus: DataFrame, dim: int, n_cells: int, metric: str = "cosine
         raise ValueError(f"{n_cells} centres of {dim} dimensions exceed {CENTRE_BYTES} bytes")
     metadata = corpus.schema["values"].metadata
     corpus = corpus.select("id", "values").filter(F.size("values") == dim)
-    wanted = n_cells * TRAINING_ROWS_PER_CELL
-    total = corpus.count()
-    sample = corpus if total <= wanted else corpus.sample(min(1.0, 1.1 * wanted / total), seed)
-    centres = _train(sample, dim, n_cells, metric, seed)
+    trained_on = corpus
+    if training_rows is not None:
+        trained_on = corpus.sample(min(1.0, training_rows / max(1, corpus.count())), seed)
+    centres = _train(trained_on, dim, n_cells, metric, seed)
     shared = corpus.sparkSession.sparkContext.broadcast(centres)
     schema = T.StructType(
         [*corpus.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("gap", T.DoubleType())]
@@ -112,8 +118,8 @@ def build_cells(corpus: DataFrame, dim: int, n_cells: int, metric: str = "cosine
     return CellIndex(rows, materialize(stats, "cell-stats"), centres, metric)
 
 
-def _train(sample: DataFrame, dim: int, n_cells: int, metric: str, seed: int) -> np.ndarray:
-    points = sample.select(array_to_vector(F.col("values").cast("array<double>")).alias("features"))
+def _train(rows: DataFrame, dim: int, n_cells: int, metric: str, seed: int) -> np.ndarray:
+    points = rows.select(array_to_vector(F.col("values").cast("array<double>")).alias("features"))
     if metric == "cosine":
         points = Normalizer(p=2.0, inputCol="features", outputCol="unit").transform(points).select(
             F.col("unit").alias("features")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from askquarry.functions.hashing import hash_embed
 from askquarry.operators.cells import build_cells, topk_cells
 from askquarry.operators.search import ModelMismatch, in_namespace, topk, topk_one, with_payload
+from workload.queries import QUERIES
 
 DIM = 6
 
@@ -161,3 +162,22 @@ def test_l2_beyond_single_precision_loses_no_row(spark):
     asked = spark.createDataFrame([("q", rows[3][1])], "qid string, vector array<float>")
     got = topk(corpus, asked, 3, metric="l2", dim=4).orderBy("rank").collect()
     assert len(got) == 3 and got[0]["id"] == "3"
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.1"])
+def test_recall_of_the_registered_approximate_search(spark, scale):
+    folder = f"/root/testdata/{scale}"
+    exact, some = ({(r["qid"], r["id"]) for r in QUERIES[name](spark, folder).collect()} for name in ("topk_ivf", "topk_ivf_probed"))
+    assert len(some) == len(exact) and len(some & exact) / len(exact) >= 0.9
+
+
+def test_centres_are_trained_on_all_rows_unless_a_bound_is_given(spark):
+    rng = np.random.default_rng(4)
+    vectors = np.vstack([rng.normal(c, 0.01, (700, 2)) for c in ([0, 0], [9, 0])])
+    corpus = table(spark, vectors, "id", "values")
+    index = build_cells(corpus, 2, 2, "l2")
+    means = np.stack([np.float32(vectors[:700]).mean(0), np.float32(vectors[700:]).mean(0)])
+    assert np.allclose(index.centres[index.centres[:, 0].argsort()], means, atol=1e-6)
+    bounded = build_cells(corpus, 2, 2, "l2", training_rows=100)
+    assert np.abs(bounded.centres[bounded.centres[:, 0].argsort()] - means).max() > 1e-6
+    assert bounded.rows.count() == 1400

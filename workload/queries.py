@@ -430,10 +430,10 @@ def topk_ivf(spark, sf_dir):
 
 @query
 def topk_ivf_probed(spark, sf_dir):
-    """Approximate form: two cells per query."""
+    """Approximate form: twelve cells per query, for a recall of at least 0.9 against ``topk_ivf``."""
     rows = vectors(spark, sf_dir)
     index = cells.build_cells(rows, DEFAULT_DIM, n_cells=16)
-    return cells.topk_cells(index, vector_queries(spark, sf_dir), 5, probes=2)
+    return cells.topk_cells(index, vector_queries(spark, sf_dir), 5, probes=12)
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from askquarry.functions import prompts
+from askquarry.session import materialize
 
 # Request and answer layouts.
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
@@ -82,6 +83,90 @@ def requests_from_turns(
     return each.select(key.alias("request_id"), F.slice("messages", F.lit(1), F.col("_n")).alias("messages"))
 
 
+def _segments(rows: DataFrame) -> DataFrame:
+    # a number given, so that adaptive execution doesn't gather them
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(n, "c", "n", "role", "content")
+    return materialize(dealt.withColumn("segment", F.spark_partition_id()), "turn-segments")
+
+
+def questions_from_turns(
+    turns: DataFrame,
+    conversation: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    content: str = "text",
+    asker: str = "user",
+) -> DataFrame:
+    """The requests of ``requests_from_turns`` without their messages, for stages that need no whole history.
+
+    ``(request_id, question, last_message, missing_role, missing_content)``: ``last_message`` is the message before the
+    question, null if there is none; the flags tell whether any earlier message lacks its role or content.
+    Turns are dealt by range into segments, so a long conversation is many tasks' work; only
+    the end of a segment is carried into the next one.
+    """
+    dealt = _segments(
+        turns.select(
+            F.col(conversation).alias("c"),
+            F.col(turn).alias("n"),
+            F.col(role).cast("string").alias("role"),
+            F.col(content).cast("string").alias("content"),
+        )
+    )
+    message = F.struct("role", "content")
+    no_role, no_content = F.col("role").isNull(), F.col("content").isNull()
+    # in the order of the assembled messages, ties included
+    order = Window.partitionBy("segment", "c").orderBy("n", "role", "content")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    inside = dealt.withColumns(
+        {
+            "last": F.lag(message).over(order),
+            "no_role": F.coalesce(F.max(no_role).over(before), F.lit(False)),
+            "no_content": F.coalesce(F.max(no_content).over(before), F.lit(False)),
+        }
+    )
+    ends = dealt.groupBy("segment", "c").agg(
+        F.max(F.struct("n", "role", "content")).alias("end"),
+        F.max(no_role).alias("any_no_role"),
+        F.max(no_content).alias("any_no_content"),
+    )
+    # a conversation has at most one row per segment here
+    onward = Window.partitionBy("c").orderBy("segment")
+    earlier = onward.rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        F.col("segment").alias("_segment"),
+        F.col("c").alias("_c"),
+        F.lag(F.struct("end.role", "end.content")).over(onward).alias("_last"),
+        F.max("any_no_role").over(earlier).alias("_no_role"),
+        F.max("any_no_content").over(earlier).alias("_no_content"),
+    ).filter(F.col("_last").isNotNull())
+    same = (F.col("segment") == F.col("_segment")) & F.col("c").eqNullSafe(F.col("_c"))
+    asked = inside.filter(F.col("role") == asker).join(carried, same, "left")
+    return asked.select(
+        F.concat_ws("-", "c", "n").alias("request_id"),
+        F.col("content").alias("question"),
+        F.coalesce("last", "_last").alias("last_message"),
+        (F.col("no_role") | F.coalesce("_no_role", F.lit(False))).alias("missing_role"),
+        (F.col("no_content") | F.coalesce("_no_content", F.lit(False))).alias("missing_content"),
+    )
+
+
+def question_problem() -> Column:
+    """``request_problem`` of the rows of ``questions_from_turns``."""
+    return F.when(F.col("missing_role"), "missing_role").when(
+        F.col("missing_content") | F.col("question").isNull(), "missing_content"
+    )
+
+
+def history_problem() -> Column:
+    """``request_problem`` of the messages before the question, for the rows of ``questions_from_turns``."""
+    return (
+        F.when(F.col("last_message").isNull(), "empty_messages")
+        .when(F.col("missing_role"), "missing_role")
+        .when(F.col("missing_content"), "missing_content")
+    )
+
+
 def extract_question(messages: Column) -> Column:
     """Content of the last message, whatever its role; null for an empty list."""
     return F.try_element_at(messages, F.lit(-1))["content"]
@@ -146,9 +231,22 @@ def refusals(requests: DataFrame, topic: str) -> DataFrame:
     )
 
 
-def question_with_last_message(question: Column, history: Column) -> Column:
+def last_message(requests: DataFrame) -> Column:
+    """The message before the question, from the history or as ``questions_from_turns`` gives it; null if there is none."""
+    if "history" in requests.columns:
+        return F.try_element_at("history", F.lit(-1))
+    return F.col("last_message")
+
+
+def has_history(requests: DataFrame) -> Column:
+    if "history" in requests.columns:
+        return F.size("history") > 0
+    return F.col("last_message").isNotNull()
+
+
+def question_with_last_message(question: Column, last: Column) -> Column:
     """Offline stand-in for a rewriting model: the question and the message before it."""
-    return F.concat_ws(" ", question, F.try_element_at(history, F.lit(-1))["content"])
+    return F.concat_ws(" ", question, last["content"])
 
 
 def search_query(question: Column, history: Column, rewritten: Column) -> Column:

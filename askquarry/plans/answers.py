@@ -44,7 +44,9 @@ def model_stage(
     """
 
     def run(df: DataFrame) -> DataFrame:
-        values = {"question": F.col("question"), "chat_history": prompts.history_text(F.col("history"))}
+        values = {"question": F.col("question")}
+        if "history" in df.columns:
+            values["chat_history"] = prompts.history_text(F.col("history"))
         if "context" in df.columns:
             values["context"] = F.col("context")
         prompt = prompts.render(template, **values, **(slots or {}))
@@ -56,7 +58,7 @@ def model_stage(
 
 def last_message_rewrite(df: DataFrame) -> DataFrame:
     """Offline rewrite stage."""
-    return df.withColumn("query", chat.question_with_last_message(F.col("question"), F.col("history")))
+    return df.withColumn("query", chat.question_with_last_message(F.col("question"), chat.last_message(df)))
 
 
 def first_sentence_answer(df: DataFrame) -> DataFrame:
@@ -89,8 +91,8 @@ def rewrite_queries(requests: DataFrame, plan: AnswerPlan) -> DataFrame:
     """Add ``query``; only requests with a history reach the rewrite stage."""
     if plan.always_rewrite:
         return plan.rewrite(requests)
-    followups = plan.rewrite(requests.filter(F.size("history") > 0))
-    openers = requests.filter(F.size("history") == 0).withColumn("query", F.col("question"))
+    followups = plan.rewrite(requests.filter(chat.has_history(requests)))
+    openers = requests.filter(~chat.has_history(requests)).withColumn("query", F.col("question"))
     return followups.unionByName(openers)
 
 
@@ -123,10 +125,11 @@ def answer_relevant(requests: DataFrame, records: DataFrame, plan: AnswerPlan) -
 def answer_requests(requests: DataFrame, records: DataFrame, plan: AnswerPlan) -> DataFrame:
     """Judge every request, answer the relevant ones and refuse the others.
 
+    ``requests`` hold ``messages``, or are rows of ``chat.questions_from_turns`` where no stage of the plan reads the history.
     The judged requests are written out, since both branches read them; refused
     requests never reach rewriting, search or the answering model.
     """
-    judged = plan.judge(chat.split_messages(requests))
+    judged = plan.judge(chat.split_messages(requests) if "messages" in requests.columns else requests)
     judged = materialize(judged.withColumn("route", chat.route(F.col("verdict"))), "routed-requests")
     answered = answer_relevant(judged.filter(F.col("route") == "answer"), records, plan)
     refused = chat.refusals(judged.filter(F.col("route") == "refuse"), plan.topic)

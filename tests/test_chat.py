@@ -100,6 +100,34 @@ def test_every_user_turn_of_a_long_conversation_is_a_request(spark):
     assert chat.requests_from_turns(turns(spark, rows)).select("request_id").distinct().count() == 2500
 
 
+def test_questions_equal_those_of_the_whole_messages(spark):
+    """One conversation of 2,500 turns over many segments; gaps, ties, nulls and a null conversation."""
+    rows = [(1, 3 * t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(2500)]
+    rows += [(2, 0, "assistant", "z"), (2, 1, None, "a"), (2, 2, "user", "b"), (3, 0, "user", None), (3, 1, "user", "c")]
+    rows += [(None, 0, "user", "x"), (None, 1, "assistant", None), (None, 1, "user", "y"), (None, 1, "user", "y")]
+    df = turns(spark, rows[::-1])
+    whole = chat.split_messages(chat.requests_from_turns(df).withColumn("problem", chat.request_problem(F.col("messages"))))
+    whole = whole.withColumns({"last": F.try_element_at("history", F.lit(-1)), "earlier": chat.request_problem(F.col("history"))})
+    slim = chat.questions_from_turns(df).withColumns({"problem": chat.question_problem(), "earlier": chat.history_problem()})
+    slim = slim.withColumnRenamed("last_message", "last")
+    expected, got = (
+        sorted(repr(tuple(r)) for r in x.select("request_id", "question", "last", "problem", "earlier").collect())
+        for x in (whole, slim)
+    )
+    assert got == expected and len(got) == 1256
+
+
+def test_a_long_conversation_is_not_one_task_and_has_no_prefixes(spark):
+    df = turns(spark, [(1, t, "user", f"q{t}") for t in range(2500)])
+    asked = chat.questions_from_turns(df)
+    assert "array" not in asked.schema.simpleString()
+    dealt = chat._segments(df.toDF("c", "n", "role", "content")).groupBy("segment").count().collect()
+    assert max(r["count"] for r in dealt) < 1250 and asked.count() == 2500
+    plan = answers.AnswerPlan(judge=word_judge, topic="engines")
+    queries = {r["request_id"]: r["query"] for r in answers.rewrite_queries(asked, plan).collect()}
+    assert queries["1-0"] == "q0" and queries["1-2499"] == "q2499 q2498" and len(queries) == 2500
+
+
 def test_tied_turns_are_kept_or_late(spark):
     df = turns(spark, [(1, t, "user", f"q{k}") for k, t in enumerate([0, 1, 1, 1])])
     kept = chat.assemble_messages(df, max_messages=2).first()["messages"]

@@ -104,6 +104,11 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.requests_from_turns(table(spark, sf_dir, "conversations"))
 
 
+def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests for stages that read the question and the message before it."""
+    return chat.questions_from_turns(table(spark, sf_dir, "conversations"))
+
+
 def split_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.split_messages(requests(spark, sf_dir))
 
@@ -467,7 +472,7 @@ def text_search(spark, sf_dir):
 
 
 def retrieved(spark, sf_dir) -> DataFrame:
-    asked = split_requests(spark, sf_dir).select("request_id", F.col("question").alias("query"))
+    asked = questions(spark, sf_dir).select("request_id", F.col("question").alias("query"))
     return answers.retrieve(asked, document_records(spark, sf_dir), plan(spark, sf_dir))
 
 
@@ -494,8 +499,7 @@ def late_turns(spark, sf_dir):
 
 @query
 def extract_question(spark, sf_dir):
-    rows = requests(spark, sf_dir)
-    return rows.select("request_id", chat.extract_question(F.col("messages")).alias("question"))
+    return questions(spark, sf_dir).select("request_id", "question")
 
 
 @query
@@ -509,10 +513,7 @@ def extract_history(spark, sf_dir):
 @query
 def validate_requests(spark, sf_dir):
     """The histories taken as requests: openers have none and are rejected."""
-    rows = requests(spark, sf_dir).withColumn("messages", chat.extract_history(F.col("messages")))
-    good, bad = chat.validate_requests(rows)
-    verdict = good.select("request_id", F.lit("ok").alias("outcome"))
-    return verdict.unionByName(bad.select("request_id", F.col("reason").alias("outcome")))
+    return questions(spark, sf_dir).select("request_id", F.coalesce(chat.history_problem(), F.lit("ok")).alias("outcome"))
 
 
 @query
@@ -537,7 +538,7 @@ def render_prompt(spark, sf_dir):
 @query
 def generate_answers(spark, sf_dir):
     """A plug-in model over plain prompts; the stand-in gives back the prompt's last line, cut short."""
-    rows = split_requests(spark, sf_dir)
+    rows = questions(spark, sf_dir)
     prompt = rows.select("request_id", prompts.render(prompts.PLAIN, question=F.col("question")).alias("prompt"))
     return plugins.generate_texts(
         prompt, "prompt", standins.echo_model, max_tokens=plugins.PLAIN_ANSWER_TOKENS
@@ -546,7 +547,7 @@ def generate_answers(spark, sf_dir):
 
 @query
 def relevance_check(spark, sf_dir):
-    return judge(spark, sf_dir)(split_requests(spark, sf_dir)).select("request_id", "verdict")
+    return judge(spark, sf_dir)(questions(spark, sf_dir)).select("request_id", "verdict")
 
 
 @query
@@ -558,7 +559,7 @@ def centroid_classify(spark, sf_dir):
 
 @query
 def route_requests(spark, sf_dir):
-    judged = judge(spark, sf_dir)(split_requests(spark, sf_dir))
+    judged = judge(spark, sf_dir)(questions(spark, sf_dir))
     judged = materialize(judged.withColumn("route", chat.route(F.col("verdict"))), "routed-requests")
     refused = chat.refusals(judged.filter("route = 'refuse'"), TOPIC)
     told = refused.select("request_id", "result", F.size("sources").cast("bigint").alias("n_sources"))
@@ -570,7 +571,7 @@ def route_requests(spark, sf_dir):
 
 @query
 def rewrite_query(spark, sf_dir):
-    return answers.rewrite_queries(split_requests(spark, sf_dir), plan(spark, sf_dir)).select("request_id", "query")
+    return answers.rewrite_queries(questions(spark, sf_dir), plan(spark, sf_dir)).select("request_id", "query")
 
 
 @query
@@ -592,7 +593,7 @@ def source_urls(spark, sf_dir):
 @query
 def answer_relevant(spark, sf_dir):
     """Every request answered, always searching with the rewritten query."""
-    rows = split_requests(spark, sf_dir)
+    rows = questions(spark, sf_dir)
     told = answers.answer_relevant(rows, document_records(spark, sf_dir), plan(spark, sf_dir, always_rewrite=True))
     return told.select("request_id", "result", F.array_join("sources", "\n").alias("sources"))
 
@@ -602,6 +603,6 @@ def rag_answers(spark, sf_dir):
     """Flagship: requests checked, judged, routed, and answered from documents and web pages."""
     both = corpus.merge_corpora([documents(spark, sf_dir), web_pages(spark, sf_dir)])
     rows = materialize(ingest.records_from_documents(both, NAMESPACE), "corpus-records")
-    good, _ = chat.validate_requests(requests(spark, sf_dir))
+    good = questions(spark, sf_dir).filter(chat.question_problem().isNull())
     told = answers.answer_requests(good, rows, plan(spark, sf_dir))
     return told.select("request_id", "result", F.array_join("sources", "\n").alias("sources"))

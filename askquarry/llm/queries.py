@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askquarry.llm import exact_dup, licenses, mixing, near_dup, packing, quality, secrets, sharding, substrings, vector_dup
+from askquarry.llm import alignment, exact_dup, licenses, mixing, near_dup, packing, quality, secrets, sharding, spelling, substrings, toxicity, vector_dup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxic_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_best_fit_packing,
     op2_substring_dedup,
@@ -71,4 +84,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op8_embedding_near_dedup,
     op9_mixing,
     op10_sharding,
+    op11_spelling_variants,
+    op12_toxicity,
+    op13_token_alignment,
 )}

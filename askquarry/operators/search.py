@@ -28,6 +28,10 @@ DEFAULT_K = 4
 BROADCAST_QUERIES = 10_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_MATCHES = 500_000
+#: Distinct ids of matches that are looked up by a filter on the records.
+LOOKUP_IDS = 1_000
+#: Stands between id and namespace in a key; below all letters, so keys sort by id first.
+SEPARATOR = "\x01"
 BLOCK_ROWS = 16_384
 BLOCK_BYTES = 128 * 1024 * 1024
 ROW_SLICE = 4_096
@@ -306,6 +310,19 @@ def topk(
     return best_of(partial, k, metric)
 
 
+def topk_records(records: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "cosine", **options) -> DataFrame:
+    """Top-k over vector records, whose key is namespace and id: ``(qid, rank, namespace, id, score)``.
+
+    Equal scores rank the lower id first, then the lower namespace; null counts as the empty namespace.
+    Options are those of ``topk``.
+    """
+    both = F.concat(F.col("id"), F.lit(SEPARATOR), F.coalesce("namespace", F.lit("")))
+    found = topk(records.select(both.alias("id"), "values"), queries, k, metric, **options)
+    namespace = F.nullif(F.substring_index("id", SEPARATOR, -1), F.lit(""))
+    id = F.expr(f"substring(id, 1, length(id) - length(substring_index(id, '{SEPARATOR}', -1)) - 1)")
+    return found.select("qid", "rank", namespace.alias("namespace"), id.alias("id"), "score")
+
+
 def with_payload(
     matches: DataFrame,
     records: DataFrame,
@@ -315,19 +332,28 @@ def with_payload(
 ) -> DataFrame:
     """Join the payload of the winners back on; it is not read before the top-k.
 
-    The matches are written out, so the search runs once, and counted. Up to
-    ``broadcast_matches`` of them are broadcast and the records only scanned. More are
-    joined by shuffle, first to their distinct ids, so a record that very many
+    Records are met by namespace and id where the matches have both, else by id. The matches are written out, so
+    the search runs once, and counted. Up to ``broadcast_matches`` of them are broadcast and the records only scanned;
+    if their distinct ids are at most ``LOOKUP_IDS``, these are a filter too, by which a table sorted by id or with Bloom filters
+    leaves row groups unread. More are joined by shuffle, first to their distinct keys, so a record that very many
     queries found is fetched once.
     """
-    wanted = ["id"] + ["values"] * include_values + ["metadata"] * include_metadata
+    keys = [c for c in ("namespace", "id") if c in matches.columns and c in records.columns]
+    wanted = ["values"] * include_values + ["metadata"] * include_metadata
     matches = materialize(matches, "matches")
-    payloads = records.select(*wanted)
+    payloads = records.select(*[F.col(c).alias(f"_{c}") for c in keys], *wanted)
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(f"_{c}").eqNullSafe(F.col(c))
     if matches.count() <= broadcast_matches:
-        joined = payloads.join(F.broadcast(matches), "id")
+        ids = matches.select("id").distinct().limit(LOOKUP_IDS + 1).collect()
+        if len(ids) <= LOOKUP_IDS:
+            payloads = payloads.filter(F.col("_id").isin([r["id"] for r in ids]))
+        joined = payloads.join(F.broadcast(matches), same)
     else:
-        joined = matches.join(payloads.join(matches.select("id").distinct(), "id", "left_semi"), "id")
-    joined = joined.select(*matches.columns, *wanted[1:])
+        few = matches.select(*keys).distinct()
+        joined = matches.join(payloads.join(few, same, "left_semi"), same)
+    joined = joined.select(*matches.columns, *wanted)
     if not include_metadata:
         return joined
     payload = read_payload(F.col("metadata"))

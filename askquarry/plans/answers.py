@@ -84,7 +84,7 @@ class AnswerPlan:
     k: int = search.DEFAULT_K
     always_rewrite: bool = False
     context_words: int | None = None
-    find: Callable[[DataFrame, DataFrame, int], DataFrame] = search.topk
+    find: Callable[[DataFrame, DataFrame, int], DataFrame] = search.topk_records
 
 
 def rewrite_queries(requests: DataFrame, plan: AnswerPlan) -> DataFrame:

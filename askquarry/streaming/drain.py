@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from askquarry.operators.vector_table import VectorTable
+from askquarry.operators.vector_table import Load, VectorTable
 from askquarry.sources.corpus import RAW_FILE, merge_corpora
 
 
@@ -45,13 +45,19 @@ def stream_table(spark: SparkSession, folder: str, schema: T.StructType, max_fil
     return reader.parquet(folder)
 
 
+def schema_path(root: str, source: str) -> str:
+    return f"{root.rstrip('/')}/schemas/source={source}"
+
+
 def drain(stream: DataFrame, root: str, source: str) -> None:
     """Append all that is available to the source's folder of a table, exactly once, and stop.
 
     The folder's own log names the files of finished batches and Spark reads by
     it, so a batch cut short by a failure leaves no rows behind. The log counts the
-    batches of one stream; hence a folder and a checkpoint per source.
+    batches of one stream; hence a folder and a checkpoint per source. The stream's schema is
+    kept beside it, so a source without rows is an empty table.
     """
+    stream.sparkSession.createDataFrame([], stream.schema).write.mode("overwrite").parquet(schema_path(root, source))
     _finish(
         stream.writeStream.format("parquet")
         .trigger(availableNow=True)
@@ -62,20 +68,33 @@ def drain(stream: DataFrame, root: str, source: str) -> None:
 
 def drained(spark: SparkSession, root: str, *sources: str) -> DataFrame:
     """The table all named sources were drained into."""
-    return merge_corpora(spark.read.parquet(source_path(root, s)) for s in sources)
+
+    def landed(source: str) -> DataFrame:
+        schema = spark.read.parquet(schema_path(root, source)).schema
+        path = spark._jvm.org.apache.hadoop.fs.Path(source_path(root, source))
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(source_path(root, source))
+
+    return merge_corpora(landed(s) for s in sources)
 
 
 def drain_to_vectors(
-    stream: DataFrame, table: VectorTable, checkpoint: str, to_records: Callable[[DataFrame], DataFrame], first_load: int = 0
+    stream: DataFrame,
+    table: VectorTable,
+    checkpoint: str,
+    to_records: Callable[[DataFrame], DataFrame],
+    compact_share: float | None = 1.0,
 ) -> None:
-    """Turn each batch into vector records and load it under its batch number.
+    """Turn each batch into vector records and load it as the batch of this checkpoint.
 
-    A batch run again after a failure replaces its own load, so nothing is
-    counted twice. Streams that share a table need ranges of load numbers of their own.
+    The checkpoint's path is the writer's name, so streams share a table without arrangement, and a batch
+    run again after a failure replaces its own load only. Loads and deletes by others keep their
+    order with it. Afterwards the table is compacted once later loads outgrow ``compact_share`` times its base; None leaves it.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        table.upsert(to_records(batch), first_load + number)
+        table.upsert(to_records(batch), Load(checkpoint, number))
 
     _finish(
         stream.writeStream.foreachBatch(load)
@@ -83,6 +102,8 @@ def drain_to_vectors(
         .option("checkpointLocation", checkpoint)
         .start()
     )
+    if compact_share is not None:
+        table.tidy(compact_share)
 
 
 def _finish(query: StreamingQuery) -> None:

@@ -2,11 +2,16 @@
 
 import json
 
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
+from askquarry.functions.hashing import hash_embed
 from askquarry.operators import records as R
+from askquarry.operators import vector_table
 from askquarry.operators.cleaning import boilerplate_lines, drop_lines
-from askquarry.operators.vector_table import VectorTable, stale_keys
+from askquarry.operators.search import ModelMismatch, topk
+from askquarry.operators.vector_table import Load, VectorTable, stale_keys
 from askquarry.session import scratch_path
 
 
@@ -69,12 +74,102 @@ def test_unfinished_load_is_not_read(spark):
     table = VectorTable(spark, scratch_path(spark, "vt"))
     table.upsert(R.vector_records(chunk_rows(spark, [("1", "u", "t", [1.0])]), "a"))
     half = R.vector_records(chunk_rows(spark, [("2", "u", "t", [1.0])]), "a").withColumn("deleted", F.lit(False))
-    half.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("namespace").parquet(
-        table._path(1)
-    )
+    half.write.partitionBy("namespace").parquet(f"{table.root}/data/commit=half")
     assert [r[1] for r in live(table)] == ["1"]
 
 
+def one(spark, value, ns="a", id="1"):
+    return R.vector_records(chunk_rows(spark, [(id, "u", "t", value)]), ns)
+
+
+def test_a_delete_between_two_batches_of_a_stream_survives(spark):
+    table = VectorTable(spark, scratch_path(spark, "vt"))
+    table.upsert(one(spark, [1.0]), Load("stream", 0))
+    table.delete(one(spark, [0.0]))
+    table.upsert(one(spark, [2.0], id="2"), Load("stream", 1))
+    assert live(table) == [("a", "2", [2.0])]
+    table.upsert(one(spark, [1.0]), Load("stream", 0))  # the first batch again stays below the delete
+    assert live(table) == [("a", "2", [2.0])] and len(table.loads()) == 3
+
+
+def test_compaction_in_place_knows_what_it_holds(spark):
+    table = VectorTable(spark, scratch_path(spark, "vt"))
+    table.upsert(one(spark, [1.0]), Load("s", 0))
+    table.upsert(one(spark, [2.0]), Load("s", 1))
+    table.delete(one(spark, [0.0], id="3"))
+    assert table.tidy() and len(table.loads()) == 1 and not table.tidy()
+    table.upsert(one(spark, [1.0]), Load("s", 0))
+    table.upsert(one(spark, [1.5]), Load("s", 1))
+    assert live(table) == [("a", "1", [2.0])]
+    table.upsert(one(spark, [3.0]), Load("s", 2))
+    assert live(table) == [("a", "1", [3.0])]
+    table.compact()
+    table.upsert(one(spark, [2.5]), Load("s", 2))
+    table.upsert(one(spark, [4.0]), Load("other", 0))
+    assert live(table) == [("a", "1", [4.0])]
+
+
+def test_a_number_of_the_log_is_taken_once(spark, monkeypatch):
+    path = scratch_path(spark, "vt")
+    first, second = VectorTable(spark, path), VectorTable(spark, path)
+    first.upsert(one(spark, [1.0]))
+    log = VectorTable._log
+    # the second writer looked before the first wrote
+    monkeypatch.setattr(VectorTable, "_log", lambda self: [] if self is second else log(self))
+    second.upsert(one(spark, [2.0], "b"))
+    monkeypatch.undo()
+    assert first.loads() == [0, 1] and live(first) == [("a", "1", [1.0]), ("b", "1", [2.0])]
+
+
+def embedded(spark, dim, column="values"):
+    text = spark.createDataFrame([("1", "u", "some words")], "id string, url string, content string")
+    return hash_embed(text, "content", column, dim)
+
+
+def test_the_model_travels_with_the_table(spark):
+    path = scratch_path(spark, "vt")
+    VectorTable(spark, path).upsert(R.vector_records(embedded(spark, 16, "embedding"), "a"))
+    stored = VectorTable(spark, path).current()
+    assert topk(stored, embedded(spark, 16, "vector").withColumnRenamed("id", "qid"), 1).count() == 1
+    with pytest.raises(ModelMismatch):
+        topk(stored, embedded(spark, 32, "vector").withColumnRenamed("id", "qid"), 1)
+    for other in (R.vector_records(embedded(spark, 32, "embedding"), "a"), one(spark, [1.0] * 16)):
+        with pytest.raises(ModelMismatch):
+            VectorTable(spark, path).upsert(other)
+    VectorTable(spark, path).delete(stored)
+    VectorTable(spark, path).compact()
+    assert VectorTable(spark, path).current().schema["values"].metadata["dim"] == 16
+
+
+def test_a_vector_of_the_wrong_size_fails_its_load(spark):
+    table = VectorTable(spark, scratch_path(spark, "vt"), {"model": "m", "dim": 2})
+    table.upsert(one(spark, None))
+    with pytest.raises(Exception, match="instead of 2"):
+        table.upsert(one(spark, [1.0]))
+    assert len(table.loads()) == 1
+
+
+def test_more_keys_than_are_broadcast(spark, monkeypatch):
+    table = VectorTable(spark, scratch_path(spark, "vt"))
+    for v in (1.0, 2.0, 3.0):
+        table.upsert(R.vector_records(chunk_rows(spark, [(str(k), "u", "t", [v + k]) for k in range(int(v) * 2)]), "a"))
+    few = live(table)
+    monkeypatch.setattr(vector_table, "BROADCAST_KEYS", 0)
+    assert live(table) == few == [("a", str(k), [3.0 + k]) for k in range(6)]
+
+
+def test_loads_are_sorted_and_have_bloom_filters(spark):
+    table = VectorTable(spark, scratch_path(spark, "vt"))
+    table.upsert(R.vector_records(chunk_rows(spark, [(str(k), "u", "t", [1.0]) for k in (3, 1, 2)]).coalesce(1), "a"))
+    (file,) = table.current().inputFiles()
+    column = pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0).column(0)
+    assert column.path_in_schema == "id" and (column.statistics.min, column.statistics.max) == ("1", "3")
+    assert [r["id"] for r in table.current().collect()] == ["1", "2", "3"]
+    assert spark._jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+        spark._jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(spark._jvm.org.apache.hadoop.fs.Path(file), spark._jsc.hadoopConfiguration())
+    ).getFooter().getBlocks().get(0).getColumns().get(0).getBloomFilterOffset() > 0
+
+
 def test_namespace_prunes_folders(spark):
     table = VectorTable(spark, scratch_path(spark, "vt"))
     table.upsert(R.vector_records(chunk_rows(spark, [("1", "u", "t", [1.0])]), "a"))

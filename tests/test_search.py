@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from askquarry.functions.hashing import hash_embed
 from askquarry.operators.cells import build_cells, topk_cells
-from askquarry.operators.search import ModelMismatch, in_namespace, topk, topk_one, with_payload
+from askquarry.operators.search import ModelMismatch, in_namespace, topk, topk_one, topk_records, with_payload
 from workload.queries import QUERIES
 
 DIM = 6
@@ -139,6 +139,33 @@ def test_payload_join(spark, limit):
     assert with_payload(matches, records, include_metadata=False).columns == ["qid", "rank", "id", "score"]
 
 
+@pytest.mark.parametrize("limit", [100, 0])
+def test_one_id_in_two_namespaces(spark, limit):
+    rows = [("a", n, [1.0, w], f'{{"url":"{n}"}}') for n, w in (("x", 0.0), ("y", 0.5), (None, 0.1))] + [("a\x01b", "x", [0.0, 1.0], "{}")]
+    records = spark.createDataFrame(rows, "id string, namespace string, values array<float>, metadata string")
+    asked = spark.createDataFrame([("q", [1.0, 0.0]), ("r", [0.0, 1.0])], "qid string, vector array<float>")
+    found = with_payload(topk_records(records, asked, 3, dim=2), records, broadcast_matches=limit).collect()
+    got = {(r["qid"], r["rank"]): (r["namespace"], r["id"], r["url"]) for r in found}
+    assert len(found) == 6
+    assert [got["q", k] for k in (1, 2, 3)] == [("x", "a", "x"), (None, "a", "None"), ("y", "a", "y")]
+    assert [got["r", k][:2] for k in (1, 2, 3)] == [("x", "a\x01b"), ("y", "a"), (None, "a")]
+
+
+def test_payload_lookup_moves_no_records(spark):
+    from askquarry.operators.vector_table import VectorTable
+    from askquarry.session import scratch_path
+
+    store = VectorTable(spark, scratch_path(spark, "vt"))
+    rows = [(str(k), [1.0, k / 50], "n", f'{{"url":"{k}"}}', None) for k in range(50)]
+    store.upsert(spark.createDataFrame(rows, "id string, values array<float>, namespace string, metadata string, sparse_values struct<indices: array<int>, values: array<float>>"))
+    asked = spark.createDataFrame([("q", [1.0, 0.0])], "qid string, vector array<float>")
+    found = with_payload(topk_records(store.current("n"), asked, 3, dim=2), store.current("n"))
+    text = plan(found)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "hashpartitioning" not in text
+    assert "In(id, [" in text
+    assert sorted(r["url"] for r in found.collect()) == ["0", "1", "2"]
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -53,13 +53,13 @@ def test_two_streams_one_vector_table_equal_one_batch(spark, tmp_path):
     folders = [tmp_path / "one", tmp_path / "two"]
 
     def load():
-        for n, folder in enumerate(folders):
+        for folder in folders:
             drain.drain_to_vectors(
                 drain.stream_files(spark, str(folder), max_files=1),
                 table,
                 drain.checkpoint_path(root, folder.name, "vectors"),
                 to_records,
-                n * 1000,
+                compact_share=None,
             )
 
     write(folders[0], "a.txt", "alpha beta")
@@ -75,6 +75,33 @@ def test_two_streams_one_vector_table_equal_one_batch(spark, tmp_path):
     expected = sorted((r["id"], r["values"], r["metadata"]) for r in to_records(whole).collect())
     assert sorted((r["id"], r["values"], r["metadata"]) for r in table.current().collect()) == expected
     assert len(expected) == 5 and len(table.loads()) == 4
+    table.compact()
+    load()
+    assert sorted((r["id"], r["values"], r["metadata"]) for r in table.current().collect()) == expected
+
+
+def test_a_deleted_key_stays_deleted_when_the_stream_goes_on(spark, tmp_path):
+    root = str(tmp_path / "out")
+    table = VectorTable(spark, f"{root}/vectors")
+
+    def load():
+        stream = drain.stream_files(spark, str(tmp_path / "in"))
+        drain.drain_to_vectors(stream, table, drain.checkpoint_path(root, "in", "vectors"), to_records)
+
+    write(tmp_path / "in", "a.txt", "alpha")
+    load()
+    table.delete(table.current())
+    write(tmp_path / "in", "b.txt", "beta")
+    load()
+    (row,) = table.current().collect()
+    assert "beta" in row["metadata"]
+
+
+def test_an_empty_source_drains_to_an_empty_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert run(spark, tmp_path / "in", str(tmp_path / "out")) == []
+    write(tmp_path / "in", "a.txt", "one")
+    assert run(spark, tmp_path / "in", str(tmp_path / "out")) == [("a.txt", "one")]
 
 
 def test_missing_second_corpus(spark):

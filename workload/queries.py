@@ -73,8 +73,10 @@ def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vector table of the documents, written once and then searched."""
-    return materialize(ingest.records_from_documents(documents(spark, sf_dir), NAMESPACE), "document-records")
+    """The documents' part of a vector table, written once and then searched."""
+    store = VectorTable(spark, scratch_path(spark, "document-records"))
+    store.upsert(ingest.records_from_documents(documents(spark, sf_dir), NAMESPACE))
+    return store.current(NAMESPACE)
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,8 +181,12 @@ def vector_upsert(spark, sf_dir):
     added = rows.filter("label = 5").withColumn("id", F.concat(F.lit("copy-"), F.col("id")))
     update = records.vector_records(changed.unionByName(added), label_space())
     load = store.upsert(update)
-    store.upsert(update, load)  # a retried load changes nothing
     store.delete(records.vector_records(rows.filter("label = 7"), label_space()))
+    store.upsert(update, load)  # a retried load changes nothing, nor does it outlive a later delete
+    store.delete(records.vector_records(added.filter("id like 'copy-%9'"), label_space()))
+    store.upsert(update, load)
+    store.compact()
+    store.upsert(update, load)  # known to the compacted table
     live = store.current()
     return live.select(
         "namespace",
@@ -210,12 +216,10 @@ def ingest_stream(spark, sf_dir):
     """The whole load as streams: two corpora, each with its own checkpoint, into one vector table."""
     root = scratch_path(spark, "ingest-stream")
     store = VectorTable(spark, f"{root}/vectors")
-    for first_load, (source, url, content) in enumerate(
-        [
-            ("documents", F.concat_ws("/", "source", F.col("doc_id").cast("string")), "text"),
-            ("pages", "url", html_to_text(F.col("html"))),
-        ]
-    ):
+    for source, url, content in [
+        ("documents", F.concat_ws("/", "source", F.col("doc_id").cast("string")), "text"),
+        ("pages", "url", html_to_text(F.col("html"))),
+    ]:
         schema = table(spark, sf_dir, source).schema
         for _ in range(2):  # the second run finds nothing new
             drain.drain_to_vectors(
@@ -225,7 +229,6 @@ def ingest_stream(spark, sf_dir):
                 lambda batch: ingest.records_from_documents(
                     corpus.documents(spread(batch), url, content), NAMESPACE
                 ),
-                first_load * 1_000_000,
             )
     live = store.current(NAMESPACE)
     return live.select("namespace", "id", F.md5("metadata").alias("metadata_md5"))
@@ -458,7 +461,7 @@ def _benchmark_queries(spark, sf_dir) -> DataFrame:
 @query
 def topk_with_payload(spark, sf_dir):
     rows = document_records(spark, sf_dir)
-    matches = search.topk(rows, _benchmark_queries(spark, sf_dir), 5)
+    matches = search.topk_records(rows, _benchmark_queries(spark, sf_dir), 5)
     return search.with_payload(matches, rows, include_values=True).select(
         "qid", "rank", "url", "content", "score", F.size("values").cast("bigint").alias("n_values")
     )
@@ -467,10 +470,23 @@ def topk_with_payload(spark, sf_dir):
 @query
 def text_search(spark, sf_dir):
     rows = document_records(spark, sf_dir)
-    matches = search.topk(rows, _benchmark_queries(spark, sf_dir), 3)
+    matches = search.topk_records(rows, _benchmark_queries(spark, sf_dir), 3)
     return search.with_payload(matches, rows).select("qid", "rank", "url", "score")
 
 
+@query
+def topk_two_namespaces(spark, sf_dir):
+    """The same ids in two namespaces, with other vectors and payloads: every match has its own."""
+    rows = labelled_chunks(spark, sf_dir)
+    store = VectorTable(spark, scratch_path(spark, "two-namespaces"), {"model": "given", "dim": DEFAULT_DIM})
+    store.upsert(records.vector_records(rows, "plain"))
+    turned = rows.withColumns({"embedding": F.reverse("embedding"), "content": F.concat(F.lit("turned "), F.col("content"))})
+    store.upsert(records.vector_records(turned, "turned"))
+    live = store.current()
+    found = search.with_payload(search.topk_records(live, vector_queries(spark, sf_dir), 5), live)
+    return found.select("qid", "rank", "namespace", "id", "content", "score")
+
+
 def retrieved(spark, sf_dir) -> DataFrame:
     asked = questions(spark, sf_dir).select("request_id", F.col("question").alias("query"))
     return answers.retrieve(asked, document_records(spark, sf_dir), plan(spark, sf_dir))

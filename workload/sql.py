@@ -160,7 +160,8 @@ SELECT 'label-' || label AS namespace, CAST(vec_id AS VARCHAR) AS id,
        CASE WHEN label = 3 THEN 'revised ' ELSE '' END || 'vector ' || vec_id AS content
 FROM embeddings WHERE label <> 7
 UNION ALL
-SELECT 'label-5', 'copy-' || vec_id, CAST(embedding[1] AS DOUBLE), 'vector ' || vec_id FROM embeddings WHERE label = 5""",
+SELECT 'label-5', 'copy-' || vec_id, CAST(embedding[1] AS DOUBLE), 'vector ' || vec_id FROM embeddings
+WHERE label = 5 AND vec_id % 10 <> 9""",
     "chunk_changes": f"""WITH
 old_docs AS (SELECT source || '/' || doc_id AS url, text AS content FROM documents SEMI JOIN labels USING (doc_id)),
 new_docs AS (
@@ -270,6 +271,18 @@ SELECT * FROM matches""",
 SELECT qid, rank, url, content, score, 64::BIGINT AS n_values FROM matches JOIN chunks USING (id)""",
     "text_search": f"""WITH {BENCHMARK}, {matches('qv', 'cv', 3)}
 SELECT qid, rank, url, score FROM matches JOIN chunks USING (id)""",
+    "topk_two_namespaces": f"""WITH values_long AS (
+  SELECT vec_id, label, unnest(range(64)) AS bucket, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings),
+cv AS (
+  SELECT vec_id || chr(1) || 'plain' AS k, bucket, v FROM values_long
+  UNION ALL SELECT vec_id || chr(1) || 'turned', 63 - bucket, v FROM values_long),
+cv_norm AS (SELECT k, sqrt(sum(v * v)) AS n FROM cv GROUP BY k),
+qv AS (SELECT CAST(label AS BIGINT) AS k, bucket, avg(v) AS v FROM values_long GROUP BY ALL),
+qv_norm AS (SELECT k, sqrt(sum(v * v)) AS n FROM qv GROUP BY k),
+{matches('qv', 'cv', 5)}
+SELECT qid, rank, string_split(id, chr(1))[2] AS namespace, string_split(id, chr(1))[1] AS id,
+       CASE WHEN id LIKE '%turned' THEN 'turned ' ELSE '' END || 'vector ' || string_split(id, chr(1))[1] AS content, score
+FROM matches""",
     "retrieve": f"WITH {RETRIEVED} SELECT request_id, rank, url, score FROM found",
     "assemble_messages": """
 SELECT conv_id, CAST(to_json(list({'role': role, 'content': text} ORDER BY turn)) AS VARCHAR) AS messages

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from askquarry.functions import prompts
+from askquarry.functions.text import words
 from askquarry.session import materialize
 
 # Request and answer layouts.
@@ -97,6 +98,7 @@ def questions_from_turns(
     role: str = "role",
     content: str = "text",
     asker: str = "user",
+    window_words: int | None = None,
 ) -> DataFrame:
     """The requests of ``requests_from_turns`` without their messages, for stages that need no whole history.
 
@@ -104,6 +106,10 @@ def questions_from_turns(
     question, null if there is none; the flags tell whether any earlier message lacks its role or content.
     Turns are dealt by range into segments, so a long conversation is many tasks' work; only
     the end of a segment is carried into the next one.
+
+    With ``window_words`` there is a ``history`` too: the messages before the question, as many of the latest as have so
+    many words together (one without words counts as one), and the last message whatever its length. So
+    histories grow with the turns and not with their square.
     """
     dealt = _segments(
         turns.select(
@@ -113,6 +119,9 @@ def questions_from_turns(
             F.col(content).cast("string").alias("content"),
         )
     )
+    # places in the conversation, in words
+    size = F.greatest(F.lit(1), F.coalesce(F.size(words(F.col("content"))), F.lit(1))).cast("bigint")
+    dealt = dealt.withColumn("words", size if window_words else F.lit(0).cast("bigint"))
     message = F.struct("role", "content")
     no_role, no_content = F.col("role").isNull(), F.col("content").isNull()
     # in the order of the assembled messages, ties included
@@ -123,12 +132,14 @@ def questions_from_turns(
             "last": F.lag(message).over(order),
             "no_role": F.coalesce(F.max(no_role).over(before), F.lit(False)),
             "no_content": F.coalesce(F.max(no_content).over(before), F.lit(False)),
+            "start": F.coalesce(F.sum("words").over(before), F.lit(0).cast("bigint")),
         }
     )
     ends = dealt.groupBy("segment", "c").agg(
         F.max(F.struct("n", "role", "content")).alias("end"),
         F.max(no_role).alias("any_no_role"),
         F.max(no_content).alias("any_no_content"),
+        F.sum("words").alias("words"),
     )
     # a conversation has at most one row per segment here
     onward = Window.partitionBy("c").orderBy("segment")
@@ -139,18 +150,48 @@ def questions_from_turns(
         F.lag(F.struct("end.role", "end.content")).over(onward).alias("_last"),
         F.max("any_no_role").over(earlier).alias("_no_role"),
         F.max("any_no_content").over(earlier).alias("_no_content"),
+        F.sum("words").over(earlier).alias("_start"),
     ).filter(F.col("_last").isNotNull())
     same = (F.col("segment") == F.col("_segment")) & F.col("c").eqNullSafe(F.col("_c"))
-    asked = inside.filter(F.col("role") == asker).join(carried, same, "left")
+    if window_words:
+        placed = inside.join(carried, same, "left").withColumn("start", F.col("start") + F.coalesce("_start", F.lit(0)))
+        asked = _with_window(materialize(placed, "placed-turns"), asker, window_words)
+    else:
+        asked = inside.filter(F.col("role") == asker).join(carried, same, "left")
     return asked.select(
         F.concat_ws("-", "c", "n").alias("request_id"),
         F.col("content").alias("question"),
         F.coalesce("last", "_last").alias("last_message"),
         (F.col("no_role") | F.coalesce("_no_role", F.lit(False))).alias("missing_role"),
         (F.col("no_content") | F.coalesce("_no_content", F.lit(False))).alias("missing_content"),
+        *[F.col("history")] * bool(window_words),
     )
 
 
+def _with_window(placed: DataFrame, asker: str, window: int) -> DataFrame:
+    """The asker's turns with ``history``, the messages whose words end within the window before them.
+
+    A stretch of ``window`` words of a conversation is a group; a question meets its own and the one before. Messages have a
+    word at least, so a group has at most ``window`` of them, however long the conversation is.
+    """
+    asked = placed.filter(F.col("role") == asker)
+    stretch = F.floor(F.col("start") / window)
+    ends = F.col("start") + F.col("words")
+    messages = placed.select(
+        F.col("c").alias("_c"),
+        F.floor(ends / window).alias("_stretch"),
+        F.struct(F.col("start").alias("at"), "role", "content").alias("_message"),
+        ends.alias("_ends"),
+    )
+    met = asked.select("c", "start", F.explode(F.array(stretch, stretch - 1)).alias("_stretch"))
+    near = met.join(messages, F.col("c").eqNullSafe(F.col("_c")) & (met["_stretch"] == messages["_stretch"]))
+    near = near.filter((F.col("_ends") <= F.col("start")) & ((F.col("_message.at") >= F.col("start") - window) | (F.col("_ends") == F.col("start"))))
+    histories = near.groupBy(F.col("c").alias("_hc"), F.col("start").alias("_hs")).agg(F.array_sort(F.collect_list("_message")).alias("_messages"))
+    own = F.col("c").eqNullSafe(F.col("_hc")) & (F.col("start") == F.col("_hs"))
+    history = F.transform(F.coalesce("_messages", F.array()), lambda m: F.struct(m["role"], m["content"])).cast(MESSAGES)
+    return asked.join(histories, own, "left").withColumn("history", history)
+
+
 def question_problem() -> Column:
     """``request_problem`` of the rows of ``questions_from_turns``."""
     return F.when(F.col("missing_role"), "missing_role").when(
@@ -231,6 +272,11 @@ def refusals(requests: DataFrame, topic: str) -> DataFrame:
     )
 
 
+def with_history_text(requests: DataFrame) -> Column:
+    """The messages' contents before the question and the question, in order, as one text."""
+    return F.concat_ws(" ", F.transform("history", lambda m: m["content"]), F.col("question"))
+
+
 def last_message(requests: DataFrame) -> Column:
     """The message before the question, from the history or as ``questions_from_turns`` gives it; null if there is none."""
     if "history" in requests.columns:

@@ -125,7 +125,7 @@ def answer_relevant(requests: DataFrame, records: DataFrame, plan: AnswerPlan) -
 def answer_requests(requests: DataFrame, records: DataFrame, plan: AnswerPlan) -> DataFrame:
     """Judge every request, answer the relevant ones and refuse the others.
 
-    ``requests`` hold ``messages``, or are rows of ``chat.questions_from_turns`` where no stage of the plan reads the history.
+    ``requests`` hold ``messages``, or are rows of ``chat.questions_from_turns``, with a window where a stage of the plan reads the history.
     The judged requests are written out, since both branches read them; refused
     requests never reach rewriting, search or the answering model.
     """
@@ -134,3 +134,19 @@ def answer_requests(requests: DataFrame, records: DataFrame, plan: AnswerPlan) -
     answered = answer_relevant(judged.filter(F.col("route") == "answer"), records, plan)
     refused = chat.refusals(judged.filter(F.col("route") == "refuse"), plan.topic)
     return answered.unionByName(refused)
+
+
+def answer_all(requests: DataFrame, records: DataFrame, plan: AnswerPlan) -> DataFrame:
+    """``answer_requests`` with every request told of: ``(request_id, result, sources, reason)``.
+
+    Requests that cannot be answered come back with the reason, no result and no sources. ``requests`` hold ``messages`` or
+    are rows of ``chat.questions_from_turns``.
+    """
+    if "messages" in requests.columns:
+        good, bad = chat.validate_requests(requests)
+    else:
+        known = requests.withColumn("reason", chat.question_problem())
+        good, bad = known.filter(F.col("reason").isNull()).drop("reason"), known.filter(F.col("reason").isNotNull())
+    told = answer_requests(good, records, plan).withColumn("reason", F.lit(None).cast("string"))
+    nothing = F.lit(None).cast("string").alias("result"), F.array().cast("array<string>").alias("sources")
+    return told.unionByName(bad.select("request_id", *nothing, "reason"))

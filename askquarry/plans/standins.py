@@ -48,3 +48,27 @@ def echo_model():
         return " ".join([w for w in WORD_BREAKS.split(last) if w][:max_tokens])
 
     return lambda prompts, max_tokens: [answer(p, max_tokens) for p in prompts]
+
+
+SENTENCE_ENDS = re.compile(r"([.!?]+)[ \t\r\f]+")
+UNKNOWN = "I do not know."
+
+
+def reading_model():
+    """Answers a prompt of the default context wording with the documents' sentence that shares most different words with the question.
+
+    The earlier of equal ones; without sentences it says that it does not know.
+    """
+
+    def split(text: str) -> list[str]:
+        return [w for w in WORD_BREAKS.split(text) if w]
+
+    def answer(prompt: str, max_tokens: int) -> str:
+        documents, _, question = prompt.partition("\nDocuments: ")[2].rpartition("\nQuestion: ")
+        asked = set(split(question))
+        lines = re.split(r"[\r\n\f]+", SENTENCE_ENDS.sub(r"\1\n", documents))
+        sentences = [found for line in lines if (found := split(line))]
+        best = max(sentences, key=lambda found: len(asked.intersection(found)), default=split(UNKNOWN))
+        return " ".join(best[:max_tokens])
+
+    return lambda prompts, max_tokens: [answer(p, max_tokens) for p in prompts]

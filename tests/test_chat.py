@@ -9,12 +9,12 @@ from askquarry.functions import prompts
 from askquarry.functions.hashing import hash_embed
 from askquarry.operators import chat
 from askquarry.operators.records import vector_records
-from askquarry.plans import answers
+from askquarry.plans import answers, standins
 
 REQUEST = "request_id string, messages array<struct<role:string,content:string>>"
 # Shapes of requests: no history, a follow-up, a longer dialogue, one ending with the assistant.
-ONE = [("user", "How does billing work?")]
-THREE = [("user", "What is Apache Spark?"), ("assistant", "An engine."), ("user", "Does it support streaming?")]
+ONE = [("user", "How much is Parking charged?")]
+THREE = [("user", "Which bus goes to the harbour?"), ("assistant", "Line nine."), ("user", "Does it run at night?")]
 FIVE = THREE + [("assistant", "Yes."), ("user", "And what comes after that?")]
 ENDS_WITH_ASSISTANT = THREE[:2]
 
@@ -123,7 +123,7 @@ def test_a_long_conversation_is_not_one_task_and_has_no_prefixes(spark):
     assert "array" not in asked.schema.simpleString()
     dealt = chat._segments(df.toDF("c", "n", "role", "content")).groupBy("segment").count().collect()
     assert max(r["count"] for r in dealt) < 1250 and asked.count() == 2500
-    plan = answers.AnswerPlan(judge=word_judge, topic="engines")
+    plan = answers.AnswerPlan(judge=word_judge, topic="buses")
     queries = {r["request_id"]: r["query"] for r in answers.rewrite_queries(asked, plan).collect()}
     assert queries["1-0"] == "q0" and queries["1-2499"] == "q2499 q2498" and len(queries) == 2500
 
@@ -146,25 +146,25 @@ def test_documents_in_rank_order_with_repeated_urls(spark):
 
 def corpus(spark):
     texts = [
-        ("1", "docs/a", "Spark supports streaming queries. It also has SQL."),
-        ("2", "docs/b", "Billing is per use. See the price list."),
-        ("3", "docs/a", "Streaming queries support Spark tables."),
+        ("1", "docs/a", "Buses run at night too. Tickets cost more."),
+        ("2", "docs/b", "Parking is charged hourly. See the price list."),
+        ("3", "docs/a", "At night it run slowly."),
     ]
     return vector_records(hash_embed(spark.createDataFrame(texts, "id string, url string, content string"), "content"), "n")
 
 
 def word_judge(df):
-    hits = F.contains(F.lower("question"), F.lit("streaming")) | F.contains(F.lower("question"), F.lit("billing"))
+    hits = F.contains(F.lower("question"), F.lit("night")) | F.contains(F.lower("question"), F.lit("parking"))
     return df.withColumn("verdict", F.when(hits, "yes").otherwise("no"))
 
 
 def test_answer_flow(spark):
     sky = THREE[:2] + [("user", "Who painted the old mill?")]
-    plan = answers.AnswerPlan(judge=word_judge, topic="engines", k=2)
+    plan = answers.AnswerPlan(judge=word_judge, topic="buses", k=2)
     rows = answers.answer_requests(requests(spark, ONE, THREE, sky), corpus(spark), plan)
     assert rows.select("result", "sources").schema.simpleString() == chat.ANSWER.simpleString()
     got = {r["request_id"]: (r["result"], r["sources"]) for r in rows.collect()}
-    assert got["r2"] == ("I can only answer questions about engines.", [])
+    assert got["r2"] == ("I can only answer questions about buses.", [])
     assert len(got["r0"][1]) == 2 and got["r1"][1].count("docs/a") == 2
 
 
@@ -189,12 +189,12 @@ def test_model_stages_see_only_the_rows_they_need(spark, tmp_path):
     sky = [("user", "Who painted the old mill?")]
 
     def judge(df):
-        seen = answers.model_stage(recording_model(logs["judge"]), prompts.RELEVANCE, "_ignored", {"topic": "engines"})
+        seen = answers.model_stage(recording_model(logs["judge"]), prompts.RELEVANCE, "_ignored", {"topic": "buses"})
         return word_judge(seen(df)).drop("_ignored")
 
     plan = answers.AnswerPlan(
         judge=judge,
-        topic="engines",
+        topic="buses",
         rewrite=answers.model_stage(recording_model(logs["rewrite"]), prompts.SEARCH_QUERY, "query"),
         answer=answers.model_stage(recording_model(logs["answer"]), prompts.WITH_CONTEXT, "answer"),
     )
@@ -202,7 +202,7 @@ def test_model_stages_see_only_the_rows_they_need(spark, tmp_path):
     assert told.count() == 3 and told.count() == 3
     calls = {name: [json.loads(line) for line in open(log)] for name, log in logs.items()}
     assert len(calls["judge"]) == 3  # once each, though two branches read the verdict
-    assert len(calls["rewrite"]) == 1 and "streaming" in calls["rewrite"][0]  # only with a history
+    assert len(calls["rewrite"]) == 1 and "night" in calls["rewrite"][0]  # only with a history
     assert len(calls["answer"]) == 2  # never for a refused request
 
 
@@ -211,7 +211,7 @@ def test_context_limit_drops_the_lowest_ranks(spark):
         answers.answer_relevant(
             chat.split_messages(requests(spark, THREE)),
             corpus(spark),
-            answers.AnswerPlan(judge=word_judge, topic="engines", context_words=limit),
+            answers.AnswerPlan(judge=word_judge, topic="buses", context_words=limit),
         ).first()["sources"]
         for limit in (100, 13)
     )
@@ -219,6 +219,76 @@ def test_context_limit_drops_the_lowest_ranks(spark):
 
 
 def test_empty_corpus_still_answers(spark):
-    plan = answers.AnswerPlan(judge=word_judge, topic="engines")
+    plan = answers.AnswerPlan(judge=word_judge, topic="buses")
     rows = answers.answer_requests(requests(spark, ONE), corpus(spark).filter("id = 'none'"), plan).collect()
     assert [(r["result"], r["sources"]) for r in rows] == [("", [])]
+
+
+def test_windows_of_a_long_conversation_equal_the_rule(spark):
+    """One conversation of 2,000 turns, tied and empty ones among them; a null conversation; a message longer than the window."""
+    rows = [(1, t // 2 if t % 50 == 0 else t, "user" if t % 3 else "assistant", "w " * (t % 7) + f"t{t}") for t in range(2000)]
+    rows += [(2, 0, "user", "long " * 90), (2, 1, "user", "after"), (2, 2, None, ""), (2, 3, "user", None), (2, 4, "user", "last")]
+    rows += [(None, 0, "assistant", "x"), (None, 1, "user", "y")]
+    window, want = 40, []
+    for conv in (1, 2, None):
+        messages = sorted((r[1:] for r in rows if r[0] == conv), key=lambda m: (m[0], m[1] is not None, m[1] or "", m[2] is not None, m[2] or ""))
+        for k, (turn, role, content) in enumerate(messages):
+            if role != "user":
+                continue
+            kept, size = [], 0
+            for _, r, c in messages[:k][::-1]:
+                size += max(1, len((c or "").split()))
+                if kept and size > window:
+                    break
+                kept.insert(0, (r, c))
+            want.append(("" if conv is None else f"{conv}-", turn, content, kept))
+    want = sorted(repr((f"{c}{t}", q, h)) for c, t, q, h in want)
+    found = chat.questions_from_turns(turns(spark, rows[::-1]), window_words=window)
+    got = [repr((r["request_id"], r["question"], [tuple(m) for m in r["history"]])) for r in found.collect()]
+    assert sorted(got) == want
+    slim = chat.questions_from_turns(turns(spark, rows))
+    assert found.drop("history").exceptAll(slim).count() == 0 == slim.exceptAll(found.drop("history")).count()
+
+
+def test_ten_thousand_turns_in_one_conversation(spark):
+    found = chat.questions_from_turns(turns(spark, [(1, t, "user", "some words here") for t in range(10_000)]), window_words=30)
+    row = found.agg(F.count("*").alias("n"), F.max(F.size("history")).alias("most"), F.sum(F.size("history")).alias("all")).first()
+    assert (row["n"], row["most"], row["all"]) == (10_000, 10, 10 * 10_000 - 55)
+
+
+def reading_plan(**options):
+    reader = answers.model_stage(standins.reading_model, prompts.WITH_CONTEXT, "answer")
+    return answers.AnswerPlan(judge=word_judge, topic="buses", answer=reader, **options)
+
+
+def test_the_whole_context_can_change_the_answer(spark):
+    asked = chat.split_messages(requests(spark, [("user", "Buses run at night but what does the price list say")]))
+    (told,) = answers.answer_relevant(asked, corpus(spark), reading_plan()).collect()
+    assert told["result"] == "Buses run at night too."
+    changed = corpus(spark).withColumn("metadata", F.replace("metadata", F.lit("See the price list"), F.lit("what does the price list say at night")))
+    (other,) = answers.answer_relevant(asked, changed, reading_plan()).collect()
+    assert other["sources"] == told["sources"] and other["result"].startswith("what does the price list say")
+    (unknown,) = answers.answer_relevant(asked, corpus(spark).limit(0), reading_plan()).collect()
+    assert unknown["result"] == "I do not know."
+
+
+def test_rejects_come_back_with_their_reason(spark):
+    sent = requests(spark, ONE, [], [("user", None)], [("user", "Who painted the old mill?")])
+    told = {r["request_id"]: (r["result"], r["sources"], r["reason"]) for r in answers.answer_all(sent, corpus(spark), reading_plan(k=1)).collect()}
+    assert told["r0"][0] and told["r0"][1:] == (["docs/b"], None)
+    assert told["r1"] == (None, [], "empty_messages") and told["r2"] == (None, [], "missing_content")
+    assert told["r3"] == ("I can only answer questions about buses.", [], None)
+    rows = chat.questions_from_turns(turns(spark, [(1, 0, "user", "Parking?"), (1, 1, None, "x"), (1, 2, "user", "y")]), window_words=9)
+    told = {r["request_id"]: r["reason"] for r in answers.answer_all(rows, corpus(spark), reading_plan()).collect()}
+    assert told == {"1-0": None, "1-2": "missing_role"}
+
+
+def test_a_follow_up_is_judged_with_the_earlier_turns(spark):
+    from askquarry.operators import classify
+
+    kinds = spark.createDataFrame([("buses", "bus night harbour"), ("mills", "mill painted old")], "label string, text string")
+    centroids = classify.class_centroids(hash_embed(kinds, "text", "values"), "label", "values")
+    both = [[("user", "the old mill painted"), ("user", "and then")], [("user", "the night bus"), ("user", "and then")]]
+    split = chat.split_messages(requests(spark, *both))
+    judged = classify.nearest_class(hash_embed(split.withColumn("t", chat.with_history_text(split)), "t", "v"), centroids, "v")
+    assert [r["predicted"] for r in judged.orderBy("request_id").collect()] == ["mills", "buses"]

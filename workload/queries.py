@@ -27,6 +27,7 @@ TOPIC = "data platforms"
 NAMESPACE = "documents"
 MIN_DOCS = 5
 BUDGET = 1200
+HISTORY_WORDS = 1500
 
 
 def label_space():
@@ -111,26 +112,34 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.questions_from_turns(table(spark, sf_dir, "conversations"))
 
 
+def questions_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests with as much of their history as goes into a prompt."""
+    return chat.questions_from_turns(table(spark, sf_dir, "conversations"), window_words=HISTORY_WORDS)
+
+
 def split_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.split_messages(requests(spark, sf_dir))
 
 
 def judge(spark: SparkSession, sf_dir: str) -> answers.Stage:
-    """Verdict stage: is the question closer to documents of good quality than to the others?"""
+    """Verdict stage: is the question with its history closer to documents of good quality than to the others?"""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     graded = docs.join(table(spark, sf_dir, "labels"), "doc_id").select("text", "quality")
     centroids = classify.class_centroids(hash_embed(graded, "text", "values"), "quality", "values")
 
     def run(df: DataFrame) -> DataFrame:
-        judged = classify.nearest_class(hash_embed(df, "question", "_values"), centroids, "_values", "_quality")
+        told = df.withColumn("_told", chat.with_history_text(df))
+        judged = classify.nearest_class(hash_embed(told, "_told", "_values"), centroids, "_values", "_quality")
         verdict = F.when(F.col("_quality") == 1, "Yes.").when(F.col("_quality") == 0, "No.")
-        return judged.withColumn("verdict", verdict).drop("_values", "_quality")
+        return judged.withColumn("verdict", verdict).drop("_told", "_values", "_quality")
 
     return run
 
 
 def plan(spark: SparkSession, sf_dir: str, **options) -> answers.AnswerPlan:
-    return answers.AnswerPlan(judge=judge(spark, sf_dir), topic=TOPIC, **options)
+    """Answers by a model that is sent the prompt with documents and history."""
+    reader = answers.model_stage(standins.reading_model, prompts.WITH_CONTEXT, "answer")
+    return answers.AnswerPlan(judge=judge(spark, sf_dir), topic=TOPIC, answer=reader, **options)
 
 
 def big(column: str):
@@ -528,8 +537,11 @@ def extract_history(spark, sf_dir):
 
 @query
 def validate_requests(spark, sf_dir):
-    """The histories taken as requests: openers have none and are rejected."""
-    return questions(spark, sf_dir).select("request_id", F.coalesce(chat.history_problem(), F.lit("ok")).alias("outcome"))
+    """The histories taken as requests: openers have none and are rejected, with the reason."""
+    sent = questions_with_history(spark, sf_dir).select("request_id", F.col("history").alias("messages"))
+    good, bad = chat.validate_requests(materialize(sent, "sent-requests"))
+    good = good.select("request_id", F.lit("ok").alias("outcome"), F.size("messages").cast("bigint").alias("n_messages"))
+    return good.unionByName(bad.select("request_id", F.col("reason").alias("outcome"), F.size("messages").cast("bigint").alias("n_messages")))
 
 
 @query
@@ -563,7 +575,7 @@ def generate_answers(spark, sf_dir):
 
 @query
 def relevance_check(spark, sf_dir):
-    return judge(spark, sf_dir)(questions(spark, sf_dir)).select("request_id", "verdict")
+    return judge(spark, sf_dir)(questions_with_history(spark, sf_dir)).select("request_id", "verdict")
 
 
 @query
@@ -575,7 +587,7 @@ def centroid_classify(spark, sf_dir):
 
 @query
 def route_requests(spark, sf_dir):
-    judged = judge(spark, sf_dir)(questions(spark, sf_dir))
+    judged = judge(spark, sf_dir)(questions_with_history(spark, sf_dir))
     judged = materialize(judged.withColumn("route", chat.route(F.col("verdict"))), "routed-requests")
     refused = chat.refusals(judged.filter("route = 'refuse'"), TOPIC)
     told = refused.select("request_id", "result", F.size("sources").cast("bigint").alias("n_sources"))
@@ -608,9 +620,11 @@ def source_urls(spark, sf_dir):
 
 @query
 def answer_relevant(spark, sf_dir):
-    """Every request answered, always searching with the rewritten query."""
-    rows = questions(spark, sf_dir)
-    told = answers.answer_relevant(rows, document_records(spark, sf_dir), plan(spark, sf_dir, always_rewrite=True))
+    """Every request answered, always searching with the rewritten query, embedded by a plug-in model."""
+    rows = questions_with_history(spark, sf_dir)
+    model = answers.model_embedding(standins.hash_model, model_name(DEFAULT_DIM), DEFAULT_DIM, "query", "vector")
+    how = plan(spark, sf_dir, always_rewrite=True, embed=model)
+    told = answers.answer_relevant(rows, document_records(spark, sf_dir), how)
     return told.select("request_id", "result", F.array_join("sources", "\n").alias("sources"))
 
 
@@ -618,7 +632,7 @@ def answer_relevant(spark, sf_dir):
 def rag_answers(spark, sf_dir):
     """Flagship: requests checked, judged, routed, and answered from documents and web pages."""
     both = corpus.merge_corpora([documents(spark, sf_dir), web_pages(spark, sf_dir)])
-    rows = materialize(ingest.records_from_documents(both, NAMESPACE), "corpus-records")
-    good = questions(spark, sf_dir).filter(chat.question_problem().isNull())
-    told = answers.answer_requests(good, rows, plan(spark, sf_dir))
-    return told.select("request_id", "result", F.array_join("sources", "\n").alias("sources"))
+    store = VectorTable(spark, scratch_path(spark, "corpus-records"))
+    store.upsert(ingest.records_from_documents(both, NAMESPACE))
+    told = answers.answer_all(questions_with_history(spark, sf_dir), store.current(NAMESPACE), plan(spark, sf_dir))
+    return told.select("request_id", "result", F.array_join("sources", "\n").alias("sources"), "reason")

@@ -6,8 +6,8 @@ import re
 
 from askquarry.functions import prompts
 from askquarry.functions.text import ENTITIES, TIDY_PATTERNS, html_patterns
-from askquarry.operators.plugins import PLAIN_ANSWER_TOKENS
-from workload.queries import BUDGET, MIN_DOCS, NAMESPACE, QUESTION, TOPIC
+from askquarry.operators.plugins import ANSWER_TOKENS, PLAIN_ANSWER_TOKENS
+from workload.queries import BUDGET, HISTORY_WORDS, MIN_DOCS, NAMESPACE, QUESTION, TOPIC
 
 SPACE = r"[ \t\r\n\f]+"
 
@@ -29,10 +29,6 @@ def sentences(expr: str) -> str:
     return f"list_filter(string_split_regex({marked}, '[\\r\\n\\f]+'), lambda s: len({words('s')}) > 0)"
 
 
-def first_sentence(expr: str) -> str:
-    return f"coalesce(trim(({sentences(expr)})[1]), '')"
-
-
 def html_text(expr: str) -> str:
     for pattern, replacement in html_patterns():
         expr = f"regexp_replace({expr}, {text(pattern)}, {text(replacement)}, 'g')"
@@ -94,6 +90,17 @@ REQUESTS = """requests AS (
 asked AS (
   SELECT request_id, messages[-1].content AS question, messages[1 : len(messages) - 1] AS history FROM requests)"""
 
+# Requests with the latest messages that have so many words together, and the last one.
+RECENT = f"""sized AS (
+  SELECT conv_id, turn, role, text, sum(w) OVER (PARTITION BY conv_id ORDER BY turn) AS ends, ends - w AS starts
+  FROM (SELECT *, greatest(1, len({words('text')})) AS w FROM conversations)),
+asked AS (
+  SELECT u.conv_id || '-' || u.turn AS request_id, any_value(u.text) AS question,
+         coalesce(list({{'role': h.role, 'content': h.text}} ORDER BY h.turn) FILTER (h.turn IS NOT NULL), []) AS history
+  FROM sized u LEFT JOIN sized h
+    ON h.conv_id = u.conv_id AND h.turn < u.turn AND (h.ends = u.starts OR h.starts >= u.starts - {HISTORY_WORDS})
+  WHERE u.role = 'user' GROUP BY 1)"""
+
 CORPUS = ",\n".join([DOCS, chunks(), embedded("chunks", "id", "content", "cv")])
 RETRIEVED = f"""{REQUESTS},
 {CORPUS},
@@ -110,7 +117,9 @@ mean AS (
   SELECT quality AS k, bucket, sum(v) / any_value(n) AS v
   FROM gv JOIN graded ON gv.k = doc_id JOIN class_size USING (quality) GROUP BY ALL),
 mean_norm AS (SELECT k, sqrt(sum(v * v)) AS n FROM mean GROUP BY k),
-{embedded('asked', 'request_id', 'question', 'jv')},
+told AS (
+  SELECT request_id, array_to_string(list_append(list_transform(history, lambda m: m.content), question), ' ') AS told FROM asked),
+{embedded('told', 'request_id', 'told', 'jv')},
 {matches('jv', 'mean', 1, 'nearest')},
 judged AS (
   SELECT a.*, CASE n.id WHEN 1 THEN 'Yes.' WHEN 0 THEN 'No.' END AS verdict
@@ -140,6 +149,17 @@ FROM scored QUALIFY rank <= 5"""
 COSINE = f"WITH {VECTOR_ENTRIES},\n{matches('qv', 'cv', 5)}\nSELECT * FROM matches"
 ENTRIES = "round(v, 6) AS weight"
 EXTRACTED = "read AS (SELECT url, CASE WHEN content NOT LIKE '%###%' THEN content END AS content FROM docs)"
+# The sentence of the context with most different words of the question.
+READ = f"""sents AS (
+  SELECT request_id, question, generate_subscripts(s, 1) AS pos, unnest(s) AS s
+  FROM (SELECT request_id, question, {sentences('context')} AS s FROM asked JOIN g USING (request_id))),
+best AS (
+  SELECT request_id, first(s ORDER BY shared DESC, pos) AS s FROM (
+    SELECT request_id, pos, s,
+           len(list_filter(list_distinct({words('s')}), lambda w: list_contains({words('question')}, w))) AS shared FROM sents)
+  GROUP BY request_id),
+answers AS (SELECT request_id, array_to_string(({words('s')})[1 : {ANSWER_TOKENS}], ' ') AS answer FROM best)"""
+UNKNOWN = "'I do not know.'"
 GATHERED = r"""SELECT request_id, string_agg(content, E'\n\n' ORDER BY rank) AS context,
   string_agg(url, E'\n' ORDER BY rank) AS sources, first(content ORDER BY rank) AS top_content"""
 
@@ -293,8 +313,8 @@ QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) > 5""",
     "extract_question": f"WITH {REQUESTS} SELECT request_id, question FROM asked",
     "extract_history": f"""WITH {REQUESTS}
 SELECT request_id, len(history) AS n_messages, CAST(to_json(history) AS VARCHAR) AS history FROM asked""",
-    "validate_requests": f"""WITH {REQUESTS}
-SELECT request_id, CASE WHEN len(history) = 0 THEN 'empty_messages' ELSE 'ok' END AS outcome FROM asked""",
+    "validate_requests": f"""WITH {RECENT}
+SELECT request_id, CASE WHEN len(history) = 0 THEN 'empty_messages' ELSE 'ok' END AS outcome, len(history) AS n_messages FROM asked""",
     "render_prompt": "WITH "
     + REQUESTS
     + ", s AS (SELECT request_id, question, CAST(to_json(history) AS VARCHAR) AS chat_history FROM asked) "
@@ -314,10 +334,10 @@ SELECT request_id, CASE WHEN len(history) = 0 THEN 'empty_messages' ELSE 'ok' EN
 p AS (SELECT request_id, {render(prompts.PLAIN, question='question')} AS prompt FROM asked)
 SELECT request_id, array_to_string(({words("string_split(prompt, chr(10))[-1]")})[1 : {PLAIN_ANSWER_TOKENS}], ' ') AS answer
 FROM p""",
-    "relevance_check": f"WITH {REQUESTS}, {JUDGED} SELECT request_id, verdict FROM judged",
+    "relevance_check": f"WITH {RECENT}, {JUDGED} SELECT request_id, verdict FROM judged",
     "centroid_classify": f"""WITH {VECTOR_ENTRIES}, {matches('cv', 'qv', 1)}
 SELECT vec_id AS id, label, CAST(m.id AS INTEGER) AS predicted FROM embeddings LEFT JOIN matches m ON m.qid = vec_id""",
-    "route_requests": f"""WITH {REQUESTS}, {JUDGED}, {ROUTED}
+    "route_requests": f"""WITH {RECENT}, {JUDGED}, {ROUTED}
 SELECT request_id, CASE WHEN route = 'refuse' THEN {REFUSAL} END AS result,
        CASE WHEN route = 'refuse' THEN 0::BIGINT END AS n_sources FROM routed""",
     "rewrite_query": f"WITH {REQUESTS} SELECT request_id, {LAST_MESSAGE} AS query FROM asked",
@@ -325,23 +345,23 @@ SELECT request_id, CASE WHEN route = 'refuse' THEN {REFUSAL} END AS result,
 SELECT request_id, md5(context) AS context_md5, length(context) AS n_chars FROM g""",
     "source_urls": f"""WITH {RETRIEVED}, g AS ({GATHERED} FROM found GROUP BY request_id)
 SELECT request_id, sources FROM g""",
-    "answer_relevant": f"""WITH {REQUESTS}, {CORPUS},
+    "answer_relevant": f"""WITH {RECENT}, {CORPUS},
 rewritten AS (SELECT request_id, {LAST_MESSAGE} AS query FROM asked),
 {embedded('rewritten', 'request_id', 'query', 'qv')},
 {matches('qv', 'cv', 4)},
 found AS (SELECT qid AS request_id, rank, url, content FROM matches JOIN chunks USING (id)),
-g AS ({GATHERED} FROM found GROUP BY request_id)
-SELECT request_id, {first_sentence('top_content')} AS result, coalesce(sources, '') AS sources
-FROM asked LEFT JOIN g USING (request_id)""",
-    "rag_answers": f"""WITH {REQUESTS}, {JUDGED}, {ROUTED}, {DOCS}, {PAGES},
+g AS ({GATHERED} FROM found GROUP BY request_id), {READ}
+SELECT request_id, coalesce(answer, {UNKNOWN}) AS result, coalesce(sources, '') AS sources
+FROM asked LEFT JOIN g USING (request_id) LEFT JOIN answers USING (request_id)""",
+    "rag_answers": f"""WITH {RECENT}, {JUDGED}, {ROUTED}, {DOCS}, {PAGES},
 both_docs AS (SELECT * FROM docs UNION ALL SELECT * FROM web),
 {chunks('both_docs')}, {embedded('chunks', 'id', 'content', 'cv')},
 rewritten AS (SELECT request_id, {LAST_MESSAGE} AS query FROM routed WHERE route = 'answer'),
 {embedded('rewritten', 'request_id', 'query', 'qv')},
 {matches('qv', 'cv', 4)},
 found AS (SELECT qid AS request_id, rank, url, content FROM matches JOIN chunks USING (id)),
-g AS ({GATHERED} FROM found GROUP BY request_id)
-SELECT request_id, CASE WHEN route = 'answer' THEN {first_sentence('top_content')} ELSE {REFUSAL} END AS result,
-       CASE WHEN route = 'answer' THEN coalesce(sources, '') ELSE '' END AS sources
-FROM routed LEFT JOIN g USING (request_id)""",
+g AS ({GATHERED} FROM found GROUP BY request_id), {READ}
+SELECT request_id, CASE WHEN route = 'answer' THEN coalesce(answer, {UNKNOWN}) ELSE {REFUSAL} END AS result,
+       CASE WHEN route = 'answer' THEN coalesce(sources, '') ELSE '' END AS sources, CAST(NULL AS VARCHAR) AS reason
+FROM routed LEFT JOIN g USING (request_id) LEFT JOIN answers USING (request_id)""",
 }

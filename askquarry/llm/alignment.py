@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,50 +24,55 @@ from askquarry.session import ship_package
 #: Id pairs whose counts are sent to all tasks, 16 bytes each; more are joined.
 BROADCAST_PAIRS = 4_000_000
 #: Units that a Python worker remembers, and characters of them.
-REMEMBERED, REMEMBERED_CHARS = 150_000, 3_000_000
-#: Different units whose pairs a task counts before it passes them on.
-COUNTED = 200_000
+REMEMBERED, REMEMBERED_CHARS = 400_000, 8_000_000
 
-Group = tuple[int, int, int, int]
+def shared_cuts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the groups between neighbouring common values of two rising arrays with the same last value end, in each.
 
-
-def shared_cuts(a: list[int], b: list[int]) -> list[Group]:
-    """Groups (from, to in a; from, to in b) between neighbouring common values of two rising lists with the same last value.
-
-    The common end nearest to the middle of an interval is found by bisection in the other list and divides the
-    interval; an interval without one is a group.
+    In every interval the common value nearest to the middle is found by bisection in the other array and divides the
+    interval; both halves go on, and an interval without one is a group. The intervals of one depth are looked at
+    together. Without values there are no groups.
     """
-    groups, left = [], [(0, len(a), 0, len(b))]
-    while left:
-        a0, a1, b0, b1 = left.pop()
-        if a1 - a0 > 1 and b1 - b0 > 1:
-            # inner ends only: the last ones are common already
-            middle, last = (a0 + a1 - 2) // 2, a1 - 2
-            for k in range(last - a0 + 1):
-                # middle, middle + 1, middle - 1, ...
-                at = middle + ((k + 1) // 2 if k % 2 else -(k // 2))
-                if at < a0 or at > last:
-                    continue
-                end = a[at]
-                met = bisect_left(b, end, b0, b1 - 1)
-                if met < b1 - 1 and b[met] == end:
-                    left += [(at + 1, a1, met + 1, b1), (a0, at + 1, b0, met + 1)]
-                    break
-            else:
-                groups.append((a0, a1, b0, b1))
-        elif a1 > a0:
-            groups.append((a0, a1, b0, b1))
-    return groups
-
-
-def overlaps(a: list[int], b: list[int], group: Group) -> Iterator[tuple[int, int]]:
-    """Index pairs of a group's tokens whose ranges overlap, given the ends of all."""
-    i, last_a, j, last_b = group
-    while i < last_a and j < last_b:
-        yield i, j
-        # the one that ends first has no further partner; at a common end neither has
-        step_a, step_b = a[i] <= b[j], b[j] <= a[i]
-        i, j = i + step_a, j + step_b
+    low, high = np.array([0], np.int64), np.array([len(a)], np.int64)
+    cuts = [high[high > 0]]
+    while len(low):
+        middle, found = (low + high - 2) // 2, np.full(len(low), -1)
+        left, k = np.flatnonzero(high - low > 1), 0
+        while len(left):
+            # the middle, the one after it, the one before it, ...; inner values only, as the last one is common already
+            at = middle[left] + ((k + 1) // 2 if k % 2 else -(k // 2))
+            inside = (at >= low[left]) & (at <= high[left] - 2)
+            value = a[np.clip(at, 0, len(a) - 1)]
+            common = inside & (b[np.searchsorted(b, value)] == value)
+            found[left[common]] = at[common]
+            k += 1
+            left = left[~common & (high[left] - low[left] > k)]
+        split = found >= 0
+        cut = found[split] + 1
+        cuts.append(cut)
+        low, high = np.concatenate([low[split], cut]), np.concatenate([cut, high[split]])
+    ends = np.sort(np.concatenate(cuts))
+    return ends, np.searchsorted(b, a[ends - 1]) + 1
+
+
+def overlaps(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of the tokens whose ranges overlap, given the ends of all: one for each stretch between two ends of either."""
+    stretches = np.sort(np.concatenate([a, b]), kind="stable")  # two runs, merged
+    stretches = stretches[np.append(stretches[1:] != stretches[:-1], True)]
+    return np.searchsorted(a, stretches), np.searchsorted(b, stretches)
+
+
+class Unit(NamedTuple):
+    """What the aligned tokens of a unit come to; ``pairs`` are its linked ids, 8 bytes each, ``a * 2**32 + b``."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    n_links: int
+    n_best: int
+    count_sum: int
+    groups: str
+    pairs: bytes
 
 
 class Aligner:
@@ -73,7 +80,7 @@ class Aligner:
 
     Both vocabularies surely cut before a space or line end that follows a visible character, if a visible one follows the space:
     the byte-level pattern starts a new part there, and no piece holds a space after anything else or a line end. At
-    these common ends a text falls into units, and equal units are divided further only once.
+    these common ends a text falls into units. New units are encoded and divided further together, and remembered.
     """
 
     UNSURE = re.compile(r"\s\s|\s\Z")
@@ -91,8 +98,10 @@ class Aligner:
             raise ValueError("a piece spans the space between words")
         self.start = self.pieces.piece_to_id(self.SPACE)
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.pieces.is_byte(i) else p.replace(self.SPACE, " ").encode() for i, p in enumerate(shown)]
-        self.known: dict[str, tuple | None] = {}
-        self.chars = 0
+        self.sizes_b = np.array([len(p) for p in self.bytes_b], np.int64)
+        self.written = list(map(str, range(max(len(self.sizes_a), len(shown)))))
+        self.known: dict[str, Unit | None] = {}
+        self.chars, self.counts_of = 0, None
 
     def units(self, text: str) -> list[str]:
         full = " " + text
@@ -102,76 +111,97 @@ class Aligner:
         found = full.replace("\n", " \n").split(" ")
         return [u if u[0] == "\n" else " " + u for u in found[1:]]
 
-    def learn(self, units: Iterable[str]) -> None:
-        """Align units that are not known yet."""
+    def learn(self, units: Iterable[str], counts: tuple[np.ndarray, np.ndarray] | None = None) -> None:
+        """Align units that are not known yet; ``counts`` are the pairs and their counts, best ones negative."""
         if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self.known.clear()
             self.chars = 0
         new = list(set(units) - self.known.keys())
-        ids_b = self.pieces.encode([u.removeprefix(" ") for u in new], num_threads=1)
-        for unit, b in zip(new, ids_b, strict=True):
-            self.known[unit] = self._unit(unit, self.pairs.encode_ordinary(unit), b)
-            self.chars += len(unit)
-
-    def _unit(self, unit: str, a: list[int], b: list[int]) -> tuple | None:
-        """(n_a, n_b, n_groups, pairs, groups as text), or None if the tokens don't give the unit's bytes back."""
-        if not unit.startswith(" "):
-            if not b or b[0] != self.start:
-                return None
-            b = b[1:]
-        parts = [self.bytes_b[i] for i in b]
-        data = unit.encode()
-        ends_a, ends_b = np.cumsum(self.sizes_a[a]).tolist(), np.cumsum([len(p) for p in parts]).tolist()
-        if b"".join(parts) != data or self.pairs.decode_bytes(a) != data:
-            return None
-        groups = shared_cuts(ends_a, ends_b)
-        pairs = [(a[i] << 32) | b[j] for g in groups for i, j in overlaps(ends_a, ends_b, g)]
-        told = ";".join(",".join(map(str, a[g[0] : g[1]])) + "|" + ",".join(map(str, b[g[2] : g[3]])) for g in groups)
-        return len(a), len(b), len(groups), pairs, told
-
-
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
-
-
-def _aligner(tokenizers: tuple[str, str] | None) -> Aligner:
+        self.chars += sum(map(len, new))
+        # only the last unit of a text can end in white space, and is then sure of its end by itself only
+        together = [u for u in new if not u[-1].isspace()]
+        for part in ([together] if together else []) + [[u] for u in new if u[-1].isspace()]:
+            self._learn(part, counts)
+
+    def _learn(self, units: list[str], counts: tuple[np.ndarray, np.ndarray] | None) -> None:
+        whole = "".join(units)
+        data = whole.encode()
+        unit_ends = np.cumsum([len(u.encode()) for u in units])
+        found = self.pieces.encode([u.removeprefix(" ") for u in units], num_threads=1)
+        # the piece that stands for a space the unit hasn't
+        found = [ids if u[0] == " " else ids[1:] if ids and ids[0] == self.start else [] for u, ids in zip(units, found, strict=True)]
+        n_b = np.array([len(ids) for ids in found])
+        b = list(chain.from_iterable(found))
+        ends_b = np.cumsum(self.sizes_b[b])
+        same = n_b.min() > 0 and np.array_equal(ends_b[np.cumsum(n_b) - 1], unit_ends)
+        if not same or b"".join(map(self.bytes_b.__getitem__, b)) != data:
+            given_back = [b"".join(map(self.bytes_b.__getitem__, ids)) == u.encode() for u, ids in zip(units, found, strict=True)]
+            self.known.update((u, None) for u, same in zip(units, given_back, strict=True) if not same)
+            rest = [u for u, same in zip(units, given_back, strict=True) if same]
+            return self._learn(rest, counts) if rest else None
+        a = self.pairs.encode_ordinary(whole)
+        ends_a = np.cumsum(self.sizes_a[a])
+        groups_a, groups_b = shared_cuts(ends_a, ends_b)
+        i, j = overlaps(ends_a, ends_b)
+        pairs = (np.array(a, np.int64)[i] << 32) | np.array(b, np.int64)[j]
+        written_a, written_b = ([self.written[i] for i in ids] for ids in (a, b))
+        starts_a, starts_b = ([0, *g[:-1].tolist()] for g in (groups_a, groups_b))
+        told = [
+            written_a[s] + "|" + written_b[u] if e - s == 1 == v - u else ",".join(written_a[s:e]) + "|" + ",".join(written_b[u:v])
+            for s, e, u, v in zip(starts_a, groups_a.tolist(), starts_b, groups_b.tolist(), strict=True)
+        ]
+        until_a = np.searchsorted(ends_a, unit_ends) + 1
+        until_group = np.searchsorted(groups_a, until_a) + 1
+        until_link = np.searchsorted(np.maximum(i, 0), until_a)
+        n_best = sums = np.zeros(len(units), np.int64)
+        first = np.concatenate([[0], until_link[:-1]])
+        if counts is not None:
+            n = counts[1][np.searchsorted(counts[0], pairs)]
+            n_best, sums = np.add.reduceat((n < 0).astype(np.int64), first), np.add.reduceat(np.abs(n), first)
+        n_a, n_groups = np.diff(until_a, prepend=0), np.diff(until_group, prepend=0)
+        held, at, done = pairs.tobytes(), 0, 0
+        for unit, x, y, g, link, best, total in zip(units, n_a.tolist(), n_b.tolist(), n_groups.tolist(), (until_link - first).tolist(), n_best.tolist(), sums.tolist(), strict=True):
+            self.known[unit] = Unit(x, y, g, link, best, total, ";".join(told[at : at + g]), held[8 * done : 8 * (done + link)])
+            at, done = at + g, done + link
+
+
+_ALIGNERS: dict[tuple, Aligner] = {}
+
+
+def _aligner(tokenizers: tuple[str, str] | None, with_counts: bool) -> Aligner:
+    """A worker's aligner; those whose units hold counts are others."""
     if tokenizers is None:
         import public_tokenizers
 
         tokenizers = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    if tokenizers not in _ALIGNERS:
-        _ALIGNERS[tokenizers] = Aligner(*tokenizers)
-    return _ALIGNERS[tokenizers]
+    # one of the two at a time, so that a worker remembers one set of units
+    if (key := (*tokenizers, with_counts)) not in _ALIGNERS:
+        _ALIGNERS.clear()
+        _ALIGNERS[key] = Aligner(*tokenizers)
+    return _ALIGNERS[key]
 
 
-def _unit_lists(aligner: Aligner, texts: list[bytes]) -> list[list[str]]:
+def _unit_lists(aligner: Aligner, texts: list[bytes], counts: tuple[np.ndarray, np.ndarray] | None = None) -> list[list[str]]:
     """The units of every text; none where it is empty or holds the sign that pieces write for a space."""
     found = [t.decode() for t in texts]
     lists = [aligner.units(t) if t and Aligner.SPACE not in t else [] for t in found]
-    aligner.learn(chain.from_iterable(lists))
+    aligner.learn(chain.from_iterable(lists), counts)
     # a text with a unit that isn't given back has no tokens
-    return [[] if any(aligner.known[u] is None for u in units) else units for units in lists]
+    return [[] if None in map(aligner.known.__getitem__, units) else units for units in lists]
 
 
 def _pair_counts(tokenizers: tuple[str, str] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(tokenizers)
-        links: Counter[int] = Counter()
-
-        def told() -> pa.RecordBatch:
-            pair, n = np.fromiter(links.keys(), np.int64, len(links)), np.fromiter(links.values(), np.int64, len(links))
-            return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
-
+        aligner = _aligner(tokenizers, False)
         for _, texts in rolling.text_groups(batches, rolling.GROUP_BYTES):
-            seen: Counter[str] = Counter()
-            for units in _unit_lists(aligner, texts):
-                seen.update(units)
-            for unit, n in seen.items():
-                for pair in aligner.known[unit][3]:
-                    links[pair] += n
-            if len(links) >= COUNTED:
-                yield told()
-                links.clear()
-        yield told()
+            seen = Counter(chain.from_iterable(_unit_lists(aligner, texts)))
+            units = [aligner.known[u] for u in seen]
+            pairs = np.frombuffer(b"".join(u.pairs for u in units), np.int64)
+            times = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), np.array([u.n_links for u in units], np.int64))
+            pair, at = np.unique(pairs, return_inverse=True)
+            n = np.zeros(len(pair), np.int64)
+            np.add.at(n, at, times)
+            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
 
     return run
 
@@ -179,7 +209,7 @@ def _pair_counts(tokenizers: tuple[str, str] | None):
 def pair_counts(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> DataFrame:
     """(pair, n, best): how many links hold an id pair, ``a * 2**32 + b``, and whether that is the most of all pairs with that b.
 
-    Links are summed within each task before the shuffle.
+    Links are summed within a megabyte of text, then within each task, before the shuffle.
     """
     ship_package(docs.sparkSession)
     counted = docs.select(F.col("text").cast("string")).mapInArrow(_pair_counts(tokenizers), "pair long, n long")
@@ -189,39 +219,39 @@ def pair_counts(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> D
     return counts.select("pair", "n", (F.col("n") == F.max("n").over(same_b)).alias("best"))
 
 
-ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+class Shared(NamedTuple):
+    """Counts of pairs in all tasks, and which run they are of."""
+
+    id: str
+    table: Broadcast
 
+    @property
+    def value(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.table.value
 
-def _counts_of(pairs: list[int], table: tuple[np.ndarray, np.ndarray] | None) -> tuple[int, int]:
-    """(links whose count is the best, sum of counts); the sign of a count tells the best."""
-    if table is None or not pairs:
-        return 0, 0
-    n = table[1][np.searchsorted(table[0], np.array(pairs, np.int64))]
-    return int((n < 0).sum()), int(np.abs(n).sum())
+
+ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
 def _described(tokenizers: tuple[str, str] | None, shared, with_pairs: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(tokenizers)
-        table = shared.value if shared else None
-        sums: dict[str, tuple] = {}
+        aligner = _aligner(tokenizers, bool(shared))
+        counts = shared.value if shared else None
+        if shared and aligner.counts_of != shared.id:  # a worker may have served another run
+            aligner.known.clear()
+            aligner.chars, aligner.counts_of = 0, shared.id
         for rows, texts in rolling.text_groups(batches, rolling.GROUP_BYTES):
-            lists = _unit_lists(aligner, texts)
-            if len(sums) > REMEMBERED:
-                sums.clear()
-            for unit in set(chain.from_iterable(lists)) - sums.keys():
-                n_a, n_b, n_groups, pairs, told = aligner.known[unit]
-                sums[unit] = n_a, n_b, n_groups, len(pairs), *_counts_of(pairs, table), told
             out, links = [], []
-            for units in lists:
-                *numbers, told = zip(*map(sums.__getitem__, units), strict=True) if units else ((),) * 7
+            for units in _unit_lists(aligner, texts, counts):
+                *numbers, told, pairs = zip(*map(aligner.known.__getitem__, units), strict=True) if units else ((),) * 8
                 out.append([*map(sum, numbers), hashlib.sha256(";".join(told).encode()).hexdigest() if units else ""])
                 if with_pairs:
-                    links.append(list(Counter(chain.from_iterable(aligner.known[u][3] for u in units)).items()))
+                    pair, n = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_counts=True)
+                    links.append([{"pair": p, "times": m} for p, m in zip(pair.tolist(), n.tolist(), strict=True)])
             columns = [rows["doc_id"], *(pa.array(c, pa.int64()) for c in list(zip(*out, strict=True))[:6]), pa.array([o[6] for o in out], pa.string())]
             names = [c.split()[0] for c in ALIGNED.split(", ")]
             if with_pairs:
-                columns += [rows["row"], pa.array([[{"pair": p, "times": n} for p, n in part] for part in links], pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())])))]
+                columns += [rows["row"], pa.array(links, pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())])))]
                 names += ["row", "links"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -248,7 +278,7 @@ def aligned(docs: DataFrame, tokenizers: tuple[str, str] | None = None, broadcas
     if counts.count() <= broadcast_pairs:
         found = counts.toArrow().sort_by("pair")
         n, best = found["n"].to_numpy(), found["best"].to_numpy()
-        shared = spark.sparkContext.broadcast((found["pair"].to_numpy(), np.where(best, -n, n)))
+        shared = Shared(uuid.uuid4().hex, spark.sparkContext.broadcast((found["pair"].to_numpy(), np.where(best, -n, n))))
         return texts.mapInArrow(_described(tokenizers, shared, False), ALIGNED)
     numbered = texts.withColumn("row", F.monotonically_increasing_id())
     with_links = ALIGNED + ", row long, links array<struct<pair: long, times: long>>"

@@ -3,14 +3,14 @@
 Many queries are scored without a join: each task multiplies its part of
 the corpus with the query matrix and passes on only its k best per query, so
 the shuffle holds k rows per query and task. Small query sets travel by
-broadcast after a check of their size; larger ones are cut, like the corpus, into
-bounded blocks that meet one block pair per group.
+broadcast after a check of their size; larger ones are searched in batches of that size, over
+a corpus that stays where it is.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from askquarry.functions.vectors import METRICS, SCORE_DIGITS, closest_first
 from askquarry.operators.records import read_payload
-from askquarry.session import materialize
+from askquarry.session import materialize, scratch_path
 
 DEFAULT_K = 4
 BROADCAST_QUERIES = 10_000
@@ -225,18 +225,27 @@ def topk_one(corpus: DataFrame, vector: list[float], k: int = 5, metric: str = "
     return partial.select("id", "score").orderBy(closest_first(F.col("score"), metric), "id").limit(k)
 
 
-def score_blocks(corpus: DataFrame, queries: DataFrame, keys: list[str], dim: int, k: int, metric: str) -> DataFrame:
+def score_blocks(
+    corpus: DataFrame,
+    queries: DataFrame,
+    keys: list[str],
+    dim: int,
+    k: int,
+    metric: str,
+    vectors_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]] | None = None,
+) -> DataFrame:
     """The k best corpus rows per query within each block both sides name.
 
     Blocks are bounded by whoever assigns the keys; a group holds one corpus
-    block and one query block and gives k rows per query.
+    block and one query block and gives k rows per query. ``vectors_of`` makes the corpus vectors, with their
+    row numbers, where they aren't the column ``values``.
     """
     id_type, q_type = _arrow(corpus, "id"), _arrow(queries, "qid")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         matrix, rows = _matrix(right.column("vector"), dim)
         found = QuerySet(_ids(right.column("qid"))[rows], matrix, k, metric)
-        vectors, kept = _matrix(left.column("values"), dim)
+        vectors, kept = vectors_of(left) if vectors_of else _matrix(left.column("values"), dim)
         found.offer(_ids(left.column("id"))[kept], vectors)
         return pa.Table.from_batches([found.result(id_type, q_type)])
 
@@ -248,15 +257,24 @@ def rows_per_block(dim: int) -> int:
     return max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * dim)))
 
 
-def _scan_blocks(corpus: DataFrame, queries: DataFrame, dim: int, k: int, metric: str, block_rows: int) -> DataFrame:
-    """Hash both sides into blocks; the corpus is repeated per query block and the reverse."""
-    lanes = max(1, math.ceil(corpus.count() / block_rows))
-    parts = max(1, math.ceil(queries.count() / block_rows))
-    left = corpus.withColumn("lane", F.pmod(F.xxhash64("id"), F.lit(lanes)))
-    left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<bigint>")))
-    right = queries.withColumn("part", F.pmod(F.xxhash64("qid"), F.lit(parts)))
-    right = right.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)).cast("array<bigint>")))
-    return score_blocks(left, right, ["lane", "part"], dim, k, metric)
+def _scan_batches(corpus: DataFrame, queries: DataFrame, n: int, dim: int, k: int, metric: str, limit: int) -> DataFrame:
+    """Search in batches of about ``limit`` queries, one after another; the corpus is scanned by each and never moved.
+
+    A batch's queries are dealt by hash, held by every task while it runs, and its merged result, k rows for each
+    query, is written before the next one begins.
+    """
+    spark = corpus.sparkSession
+    batches = math.ceil(n / limit)
+    dealt = queries.withColumn("batch", F.pmod(F.xxhash64("qid"), F.lit(batches)))
+    q_type = queries.schema["qid"].dataType
+    path = scratch_path(spark, "query-batches")
+    for batch in range(batches):
+        table = dealt.filter(F.col("batch") == batch).toArrow()
+        matrix, rows = _matrix(table.column("vector"), dim)
+        partial = _scan(corpus, _ids(table.column("qid"))[rows], matrix, q_type, k, metric)
+        best_of(partial, k, metric).write.mode("append").parquet(path)
+    schema = best_of(_scan(corpus, np.array([], dtype=object), np.zeros((0, dim)), q_type, k, metric), k, metric).schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def best_of(partial: DataFrame, k: int, metric: str) -> DataFrame:
@@ -278,7 +296,6 @@ def topk(
     metric: str = "cosine",
     dim: int | None = None,
     broadcast_queries: int = BROADCAST_QUERIES,
-    block_rows: int | None = None,
 ) -> DataFrame:
     """The k best corpus rows for every query, as ``(qid, rank, id, score)``.
 
@@ -289,7 +306,7 @@ def topk(
 
     The vectors must have the dimension ``dim``, taken from the column metadata
     where it is not given. Up to ``broadcast_queries`` queries (and
-    ``BROADCAST_BYTES``) are broadcast; more go through blocks.
+    ``BROADCAST_BYTES``) are broadcast; more are searched in batches of that size.
     """
     check_metric(metric)
     check_model(queries, "vector", corpus, "values")
@@ -300,13 +317,12 @@ def topk(
     corpus = corpus.select("id", "values")
     # Written once: the vectors may come from paid model calls, and are counted and read.
     queries = materialize(queries.select("qid", "vector"), "query-vectors")
-    limit = max(0, min(broadcast_queries, BROADCAST_BYTES // (8 * dim)))
-    if queries.count() <= limit:
-        table = queries.toArrow()
-        matrix, rows = _matrix(table.column("vector"), dim)
-        partial = _scan(corpus, _ids(table.column("qid"))[rows], matrix, queries.schema["qid"].dataType, k, metric)
-    else:
-        partial = _scan_blocks(corpus, queries, dim, k, metric, block_rows or rows_per_block(dim))
+    limit, n = max(1, min(broadcast_queries, BROADCAST_BYTES // (8 * dim))), queries.count()
+    if n > limit:
+        return _scan_batches(corpus, queries, n, dim, k, metric, limit)
+    table = queries.toArrow()
+    matrix, rows = _matrix(table.column("vector"), dim)
+    partial = _scan(corpus, _ids(table.column("qid"))[rows], matrix, queries.schema["qid"].dataType, k, metric)
     return best_of(partial, k, metric)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from askquarry.functions.hashing import hash_embed
 from askquarry.operators import records as R
-from askquarry.operators import vector_table
+from askquarry.operators import cleaning, vector_table
 from askquarry.operators.cleaning import boilerplate_lines, drop_lines
 from askquarry.operators.search import ModelMismatch, topk
 from askquarry.operators.vector_table import Load, VectorTable, stale_keys
@@ -199,7 +199,10 @@ def test_versions_are_numbers_and_at_least_one(spark):
     assert {(r["name"], r["latest_version"]) for r in got} == {("a", 10), ("b", 1), ("c", 1)}
 
 
-def test_boilerplate(spark):
+@pytest.mark.parametrize("limit", [10, 0])
+def test_boilerplate(spark, monkeypatch, limit):
+    monkeypatch.setattr(cleaning, "BROADCAST_LINES", limit)
+    monkeypatch.setattr(cleaning, "BROADCAST_HASHES", limit)
     rows = [(f"d{i}", f"title {i}\n  legal line \nbody {i}\nlegal line") for i in range(6)] + [("e", "legal line"), ("n", None)]
     docs = spark.createDataFrame(rows, "url string, content string")
     lines = boilerplate_lines(docs, min_docs=5)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from askquarry.functions.hashing import hash_embed
+from askquarry.operators import cells, search
 from askquarry.operators.cells import build_cells, topk_cells
 from askquarry.operators.search import ModelMismatch, in_namespace, topk, topk_one, topk_records, with_payload
 from workload.queries import QUERIES
@@ -60,7 +61,7 @@ def close(got, expected):
 
 
 @pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
-@pytest.mark.parametrize("options", [{}, {"broadcast_queries": 0, "block_rows": 50}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_queries": 5}])
 def test_topk_equals_brute_force(spark, metric, options):
     corpus, queries = data()
     got = topk(table(spark, corpus, "id", "values"), table(spark, queries, "qid", "vector"), 5, metric, DIM, **options)
@@ -104,7 +105,7 @@ def test_string_ids_tie_in_code_point_order(spark):
     ids = ["b", "a", "é", "Z", "10", "9"]
     corpus = spark.createDataFrame([(i, [1.0, 2.0]) for i in ids], "id string, values array<float>")
     asked = spark.createDataFrame([("q", [2.0, 4.0])], "qid string, vector array<float>")
-    for options in ({}, {"broadcast_queries": 0}):
+    for options in ({}, {"broadcast_queries": 1}):
         got = topk(corpus, asked, 3, dim=2, **options).orderBy("rank").collect()
         assert [r["id"] for r in got] == ["10", "9", "Z"]
 
@@ -174,15 +175,44 @@ def test_plans(spark):
     corpus, queries = data()
     rows = table(spark, corpus, "id", "values").withColumn("metadata", F.lit("{}"))
     asked = table(spark, queries, "qid", "vector")
-    for options in ({}, {"broadcast_queries": 0}):
-        text = plan(topk(rows, asked, 5, dim=DIM, **options))
-        assert "WindowGroupLimit" in text
-        assert "CartesianProduct" not in text and "NestedLoop" not in text
-        assert "metadata" not in text
+    text = plan(topk(rows, asked, 5, dim=DIM))
+    assert "WindowGroupLimit" in text
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    assert "metadata" not in text
     one = plan(topk_one(rows, queries[1], 5))
     assert "TakeOrderedAndProject" in one and "Exchange" not in one
 
 
+def test_batches_of_queries_leave_the_corpus_where_it_is(spark, monkeypatch):
+    """Every batch's plan has one exchange, that of its matches; the corpus is neither moved nor counted."""
+    corpus, queries = data()
+    rows, asked = table(spark, corpus, "id", "values"), table(spark, queries, "qid", "vector")
+    plans, best_of = [], search.best_of
+    monkeypatch.setattr(search, "best_of", lambda partial, k, metric: plans.append(plan(best_of(partial, k, metric))) or best_of(partial, k, metric))
+    counted = []
+    monkeypatch.setattr(type(rows), "count", lambda self, count=type(rows).count: counted.append(self.columns) or count(self))
+    topk(rows, asked, 5, dim=DIM, broadcast_queries=4)
+    assert len(plans) == 4 and all(p.count("Exchange") == 1 and "hashpartitioning(qid" in p for p in plans)
+    assert counted == [["qid", "vector"]]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+@pytest.mark.parametrize("limit", [search.BROADCAST_MATCHES, 0])
+def test_codes_find_what_vectors_find(spark, monkeypatch, metric, limit):
+    monkeypatch.setattr(cells, "BROADCAST_MATCHES", limit)
+    corpus, queries = data(copies=0)
+    index = build_cells(table(spark, corpus, "id", "values"), DIM, 8, metric)
+    got = cells.topk_coded(index, table(spark, queries, "qid", "vector"), 5, probes=8, shortlist=12, block_rows=70)
+    close(found(got), sorted(brute(corpus, queries, 5, metric)))
+
+
+def test_first_level_reads_codes_and_the_second_few_vectors(spark):
+    corpus, queries = data(copies=0)
+    index = build_cells(table(spark, corpus, "id", "values"), DIM, 8)
+    routed = cells._route(table(spark, queries, "qid", "vector"), index, DIM, 8, None)
+    assert "values" not in plan(cells._visit(index, routed, DIM, 10, 100, coded=True)).split("ReadSchema")[1].split("\n")[0]
+
+
 def test_l2_beyond_single_precision_loses_no_row(spark):
     rows = [(str(k), [float(np.float32(2e19) * (1 + k * 1e-3))] * 4) for k in range(5)]
     corpus = spark.createDataFrame(rows, "id string, values array<float>")

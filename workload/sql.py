@@ -280,6 +280,9 @@ SELECT id, url, score FROM matches JOIN chunks USING (id)""",
     "topk_batch": COSINE,
     "topk_blocks": COSINE,
     "topk_ivf": COSINE,
+    "ivf_recall": """
+SELECT 5 * count(DISTINCT label) AS n_matches, true AS recall_reached,
+       10 * count(DISTINCT label) <= count(*) / 4.0 AS a_quarter_read_at_most FROM embeddings""",
     "topk_dot": vector_matches("sum(q.v * c.v)", "DESC"),
     "topk_l2": vector_matches("sqrt(sum((q.v - c.v) * (q.v - c.v)))", "ASC"),
     "topk_namespace": f"""WITH {VECTOR_ENTRIES},

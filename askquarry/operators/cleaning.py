@@ -30,12 +30,14 @@ def boilerplate_lines(docs: DataFrame, text: str = "content", min_docs: int = 5)
     texts of lines cross the network only where a hash is frequent; these are then counted as texts, partly before the
     shuffle, so a line that a third of the documents hold sends one row per task.
     """
-    found = F.transform(F.array_distinct(F.filter(_lines(F.col(text)), lambda line: line != "")), lambda line: F.struct(F.xxhash64(line).alias("h"), line.alias("line")))
-    lines = docs.select(F.explode(F.coalesce(found, F.array().cast("array<struct<h: bigint, line: string>>"))).alias("l")).select("l.*")
-    frequent = materialize(lines.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("h"), "frequent-lines")
+    distinct = F.array_distinct(F.filter(_lines(F.col(text)), lambda line: line != ""))
+    hashes = F.transform(distinct, lambda line: F.xxhash64(line))
+    hashed = docs.select(F.explode(F.coalesce(hashes, F.array().cast("array<bigint>"))).alias("h"))
+    frequent = materialize(hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("h"), "frequent-lines")
     if frequent.count() <= BROADCAST_HASHES:
         frequent = F.broadcast(frequent)
-    counted = lines.join(frequent, "h", "left_semi").groupBy("line").agg(F.count(F.lit(1)).alias("n_docs"))
+    lines = docs.select(F.explode(F.coalesce(distinct, F.array().cast("array<string>"))).alias("line"))
+    counted = lines.withColumn("h", F.xxhash64("line")).join(frequent, "h", "left_semi").groupBy("line").agg(F.count(F.lit(1)).alias("n_docs"))
     return counted.filter(F.col("n_docs") >= min_docs)
 
 

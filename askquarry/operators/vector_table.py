@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from askquarry.functions.arrays import evaluate_once
 from askquarry.operators.records import VECTOR_RECORD
 from askquarry.operators.search import ModelMismatch
 
@@ -148,9 +149,10 @@ class VectorTable:
         model, dim = self._checked(records)
         rows = records.select(*VECTOR_RECORD.names, F.lit(False).alias("deleted"))
         if dim is not None:
-            wrong = F.raise_error(F.format_string(f"vector of %s has %s values instead of {dim}", "id", F.size("values")))
-            fits = F.col("values").isNull() | (F.size("values") == dim)
-            rows = rows.withColumn("values", F.when(fits, F.col("values")).otherwise(wrong.cast("array<float>")))
+            wrong = F.raise_error(F.format_string(f"vector of %s has not {dim} values", "id")).cast("array<float>")
+            # bound once, so that the embedding isn't computed for its size again
+            fits = evaluate_once(F.col("values"), lambda v: F.when(v.isNull() | (F.size(v) == dim), v).otherwise(wrong))
+            rows = rows.withColumn("values", fits)
         return self._write(rows.hint("rebalance", "namespace") if gather else rows, load, model=model, dim=dim, upserts=True)
 
     def delete(self, keys: DataFrame, load: Load | None = None) -> Load:

@@ -24,7 +24,7 @@ from askquarry.session import ship_package
 #: Id pairs whose counts are sent to all tasks, 16 bytes each; more are joined.
 BROADCAST_PAIRS = 4_000_000
 #: Units that a Python worker remembers, and characters of them.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 8_000_000
+REMEMBERED, REMEMBERED_CHARS = 600_000, 12_000_000
 
 def shared_cuts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the groups between neighbouring common values of two rising arrays with the same last value end, in each.
@@ -62,32 +62,21 @@ def overlaps(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(a, stretches), np.searchsorted(b, stretches)
 
 
-class Unit(NamedTuple):
-    """What the aligned tokens of a unit come to; ``pairs`` are its linked ids, 8 bytes each, ``a * 2**32 + b``."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    n_best: int
-    count_sum: int
-    groups: str
-    pairs: bytes
-
-
 class Aligner:
     """Aligned tokens of texts, unit by unit.
 
     Both vocabularies surely cut before a space or line end that follows a visible character, if a visible one follows the space:
     the byte-level pattern starts a new part there, and no piece holds a space after anything else or a line end. At
-    these common ends a text falls into units. New units are encoded and divided further together, and remembered.
+    these common ends a text falls into units. New units are encoded and divided further together, and remembered: plain tuples
+    of n_a, n_b, n_groups, n_links, n_best, count_sum, the groups as text, and the linked ids, 8 bytes each, ``a * 2**32 + b``.
     """
 
     UNSURE = re.compile(r"\s\s|\s\Z")
     CUT = re.compile(r"(?<=\S)(?=\n| \S)")
     SPACE = "▁"
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, with_groups: bool = True, with_pairs: bool = True):
+        """Groups or linked ids that aren't asked for stay empty."""
         from sentencepiece import SentencePieceProcessor
 
         own = Encoder(path_a)
@@ -100,8 +89,11 @@ class Aligner:
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.pieces.is_byte(i) else p.replace(self.SPACE, " ").encode() for i, p in enumerate(shown)]
         self.sizes_b = np.array([len(p) for p in self.bytes_b], np.int64)
         self.written = list(map(str, range(max(len(self.sizes_a), len(shown)))))
-        self.known: dict[str, Unit | None] = {}
+        self.with_groups, self.with_pairs = with_groups, with_pairs
+        self.known: dict[str, tuple | None] = {}
         self.chars, self.counts_of = 0, None
+        #: whether any unit known is None, that is, not given back by its tokens
+        self.any_bad = False
 
     def units(self, text: str) -> list[str]:
         full = " " + text
@@ -137,6 +129,7 @@ class Aligner:
         if not same or b"".join(map(self.bytes_b.__getitem__, b)) != data:
             given_back = [b"".join(map(self.bytes_b.__getitem__, ids)) == u.encode() for u, ids in zip(units, found, strict=True)]
             self.known.update((u, None) for u, same in zip(units, given_back, strict=True) if not same)
+            self.any_bad = True
             rest = [u for u, same in zip(units, given_back, strict=True) if same]
             return self._learn(rest, counts) if rest else None
         a = self.pairs.encode_ordinary(whole)
@@ -144,40 +137,49 @@ class Aligner:
         groups_a, groups_b = shared_cuts(ends_a, ends_b)
         i, j = overlaps(ends_a, ends_b)
         pairs = (np.array(a, np.int64)[i] << 32) | np.array(b, np.int64)[j]
-        written_a, written_b = ([self.written[i] for i in ids] for ids in (a, b))
-        starts_a, starts_b = ([0, *g[:-1].tolist()] for g in (groups_a, groups_b))
-        told = [
-            written_a[s] + "|" + written_b[u] if e - s == 1 == v - u else ",".join(written_a[s:e]) + "|" + ",".join(written_b[u:v])
-            for s, e, u, v in zip(starts_a, groups_a.tolist(), starts_b, groups_b.tolist(), strict=True)
-        ]
         until_a = np.searchsorted(ends_a, unit_ends) + 1
         until_group = np.searchsorted(groups_a, until_a) + 1
-        until_link = np.searchsorted(np.maximum(i, 0), until_a)
+        until_link = np.searchsorted(i, until_a)
         n_best = sums = np.zeros(len(units), np.int64)
         first = np.concatenate([[0], until_link[:-1]])
         if counts is not None:
             n = counts[1][np.searchsorted(counts[0], pairs)]
             n_best, sums = np.add.reduceat((n < 0).astype(np.int64), first), np.add.reduceat(np.abs(n), first)
-        n_a, n_groups = np.diff(until_a, prepend=0), np.diff(until_group, prepend=0)
-        held, at, done = pairs.tobytes(), 0, 0
-        for unit, x, y, g, link, best, total in zip(units, n_a.tolist(), n_b.tolist(), n_groups.tolist(), (until_link - first).tolist(), n_best.tolist(), sums.tolist(), strict=True):
-            self.known[unit] = Unit(x, y, g, link, best, total, ";".join(told[at : at + g]), held[8 * done : 8 * (done + link)])
-            at, done = at + g, done + link
+        n_a, n_groups, n_links = (np.diff(x, prepend=0) for x in (until_a, until_group, until_link))
+        groups = held = [None] * len(units)
+        if self.with_groups:
+            groups = self._written(a, b, groups_a, groups_b, until_group)
+        if self.with_pairs:
+            data = pairs.tobytes()
+            held = [data[s:e] for s, e in zip((8 * first).tolist(), (8 * until_link).tolist(), strict=True)]
+        numbers = (x.tolist() for x in (n_a, n_b, n_groups, n_links, n_best, sums))
+        self.known.update(zip(units, zip(*numbers, groups, held, strict=True), strict=True))
+
+    def _written(self, a: list[int], b: list[int], groups_a: np.ndarray, groups_b: np.ndarray, until: np.ndarray) -> list[str]:
+        """Each unit's groups as text; ``until`` are the numbers of groups up to each unit's end."""
+        starts_a, starts_b = (np.concatenate([[0], g[:-1]]) for g in (groups_a, groups_b))
+        written = self.written
+        told = [written[a[s]] + "|" + written[b[u]] for s, u in zip(starts_a.tolist(), starts_b.tolist(), strict=True)]
+        for k in np.flatnonzero((groups_a - starts_a > 1) | (groups_b - starts_b > 1)).tolist():
+            ids_a, ids_b = a[starts_a[k] : groups_a[k]], b[starts_b[k] : groups_b[k]]
+            told[k] = ",".join([written[i] for i in ids_a]) + "|" + ",".join([written[i] for i in ids_b])
+        until = until.tolist()
+        return [";".join(told[s:e]) for s, e in zip([0, *until[:-1]], until, strict=True)]
 
 
 _ALIGNERS: dict[tuple, Aligner] = {}
 
 
-def _aligner(tokenizers: tuple[str, str] | None, with_counts: bool) -> Aligner:
-    """A worker's aligner; those whose units hold counts are others."""
+def _aligner(tokenizers: tuple[str, str] | None, with_groups: bool, with_pairs: bool) -> Aligner:
+    """A worker's aligner for one of the passes."""
     if tokenizers is None:
         import public_tokenizers
 
         tokenizers = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    # one of the two at a time, so that a worker remembers one set of units
-    if (key := (*tokenizers, with_counts)) not in _ALIGNERS:
+    # one at a time, so that a worker remembers one set of units
+    if (key := (*tokenizers, with_groups, with_pairs)) not in _ALIGNERS:
         _ALIGNERS.clear()
-        _ALIGNERS[key] = Aligner(*tokenizers)
+        _ALIGNERS[key] = Aligner(*key)
     return _ALIGNERS[key]
 
 
@@ -186,18 +188,20 @@ def _unit_lists(aligner: Aligner, texts: list[bytes], counts: tuple[np.ndarray,
     found = [t.decode() for t in texts]
     lists = [aligner.units(t) if t and Aligner.SPACE not in t else [] for t in found]
     aligner.learn(chain.from_iterable(lists), counts)
+    if not aligner.any_bad:
+        return lists
     # a text with a unit that isn't given back has no tokens
     return [[] if None in map(aligner.known.__getitem__, units) else units for units in lists]
 
 
 def _pair_counts(tokenizers: tuple[str, str] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(tokenizers, False)
+        aligner = _aligner(tokenizers, False, True)
         for _, texts in rolling.text_groups(batches, rolling.GROUP_BYTES):
             seen = Counter(chain.from_iterable(_unit_lists(aligner, texts)))
             units = [aligner.known[u] for u in seen]
-            pairs = np.frombuffer(b"".join(u.pairs for u in units), np.int64)
-            times = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), np.array([u.n_links for u in units], np.int64))
+            pairs = np.frombuffer(b"".join(u[7] for u in units), np.int64)
+            times = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), np.array([u[3] for u in units], np.int64))
             pair, at = np.unique(pairs, return_inverse=True)
             n = np.zeros(len(pair), np.int64)
             np.add.at(n, at, times)
@@ -235,7 +239,7 @@ ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 
 def _described(tokenizers: tuple[str, str] | None, shared, with_pairs: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(tokenizers, bool(shared))
+        aligner = _aligner(tokenizers, True, with_pairs)
         counts = shared.value if shared else None
         if shared and aligner.counts_of != shared.id:  # a worker may have served another run
             aligner.known.clear()

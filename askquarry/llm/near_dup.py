@@ -25,6 +25,8 @@ from askquarry.session import ship_package
 
 #: Sketches of one block that are compared with those of another in a task.
 BLOCK = 512
+#: Nodes whose text keys, 24 bytes each, are broadcast to the texts; more meet them in a shuffle.
+BROADCAST_NODES = 2_000_000
 #: Row pairs of a group that are looked at together.
 PAIRS = 50_000
 
@@ -275,6 +277,8 @@ def _joined(near: Near):
 def _elements(nodes: DataFrame, sets: DataFrame, docs: DataFrame, near: Near, stages: Stages) -> DataFrame:
     """(node, elements): the full sets of distinct nodes. Their texts are read again, no others kept."""
     wanted = stages.save(nodes.join(sets, "node").select("node", "k1", "k2"), "wanted")
+    if wanted.count() <= BROADCAST_NODES:  # texts of no other node are moved
+        wanted = F.broadcast(wanted)
     text = F.col("text").cast("string")
     texts = docs.select(*text_key(text), text.alias("text")).join(wanted, ["k1", "k2"]).select("node", ascii_lower(F.col("text")).alias("text"))
 
@@ -329,6 +333,7 @@ def near_components(docs: DataFrame, near: Near, stages: Stages) -> DataFrame:
     both = stars.join(slim.toDF("a", "na", "ra"), "a").join(slim.toDF("b", "nb", "rb"), "b")
     tried = stages.save(both.mapInArrow(_promising(near), "a long, b long"), "stars")
     links = _verified(tried, sets, docs, near, stages)
+    stages.drop(tried)
 
     label = components(links, stages)
     placed = members.join(label.select("node", "root"), "node", "left").select("bucket", "band", "node", "n", F.coalesce("root", "node").alias("comp"))
@@ -351,13 +356,14 @@ def near_components(docs: DataFrame, near: Near, stages: Stages) -> DataFrame:
         return table.repartition(*GROUP).sortWithinPartitions(*GROUP)
 
     paired = stages.save(by_group(rows_of).mapInArrow(_paired(near), rows_of.schema), "paired")
-    stages.release()
+    stages.drop(members, placed)
     if not paired.isEmpty():
         elements = _elements(paired.select("node").distinct(), sets, docs, near, stages)
         more = by_group(paired.join(elements, "node")).mapInArrow(_joined(near), "a long, b long")
         label = components(links.union(stages.save(more, "more")), stages)
         stages.drop(elements, paired)
     named = stages.save(sets.join(label, "node", "left").select("s1", "s2", "node", F.coalesce("root", "node").alias("root")), "named")
+    stages.drop(sets)
     return rows.select("doc_id", "k1", "k2", "s1", "s2", "n").join(named, ["s1", "s2"], "left").drop("s1", "s2")
 
 

@@ -142,8 +142,9 @@ def test_quality_of_odd_rows(docs, none, spark):
     assert quality.quality_scores(none, labels).count() == 0
 
 
-@pytest.mark.parametrize("near", [near_dup.WORDS_3, near_dup.WORDS_5])
-def test_near_components(docs, near):
+@pytest.mark.parametrize("near, broadcast", [(near_dup.WORDS_3, 0), (near_dup.WORDS_3, 10**6), (near_dup.WORDS_5, 10**6)])
+def test_near_components(docs, near, broadcast, monkeypatch):
+    monkeypatch.setattr(near_dup, "BROADCAST_NODES", broadcast)
     sets = []
     for _, text, *_ in ROWS:
         w = split((text or "").translate(LOWER))

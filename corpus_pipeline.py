@@ -49,7 +49,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packed),
 ]
 
-#: Learned scores and random draws are beyond SQL; tests hold the stages against brute force.
+#: Learned scores and random draws are beyond SQL; tests check columns and counts of the stages, not yet their rows.
 ORACLE_SQL = None
 
 

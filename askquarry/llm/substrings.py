@@ -146,9 +146,9 @@ def _intervals(window: int):
 def repeated_spans(docs: DataFrame, stages: Stages, window: int = WINDOW) -> DataFrame:
     """(k1, k2, starts, ends): by text key, the maximal word intervals [start, end) that repeated windows cover.
 
-    A window repeats when its words also start anywhere else, in the same text too. Every window's two
-    Rabin-Karp hashes are compared in full: the second one's bucket says which task counts it, seven bytes of
-    the first are sent. Rows hold the hashes of a chunk of texts for one bucket, and equal windows of a chunk go once,
+    A window repeats when its words also start anywhere else, in the same text too. Windows count as equal by parts of two
+    Rabin-Karp hashes: the second one's bucket says which task counts it, seven bytes of the first are sent. Words are
+    not compared, so among very many windows (some 10**13) a few different ones may be taken for equal. Rows hold the hashes of a chunk of texts for one bucket, and equal windows of a chunk go once,
     so a passage that all texts share costs one hash per chunk. Texts without repeats have no row.
     """
     spark = docs.sparkSession

@@ -5,7 +5,10 @@ from __future__ import annotations
 import gc
 import time
 import uuid
+import weakref
+from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,33 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(7), text, F.length(text)).alias("k2")]
 
 
+def row_place(docs: DataFrame) -> tuple[Column, Column] | None:
+    """Columns naming a row by 128 bits of its file's path and its place there, and the place, if ``docs`` is a plain table
+    of Parquet files: every read of the table finds the same names, however it is split. None for any other plan."""
+    if not docs._jdf.queryExecution().analyzed().children().isEmpty():
+        return None
+    try:
+        meta = docs.metadataColumn("_metadata")
+        path, at = meta["file_path"], meta["row_index"]
+        docs.select(path, at)
+    except AnalysisException:
+        return None
+    return F.concat_ws("-", F.md5(path), at.cast("string")), at
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """(doc, row, at): all columns of ``docs`` in a struct, the row's name, its place.
+
+    A table of Parquet files is read where it lies; only rows of another plan are written out first.
+    """
+    rows, named = docs.select(F.struct("*").alias("doc")), row_place(docs)
+    if named is not None:
+        return docs.select(F.struct("*").alias("doc"), named[0].alias("row"), named[1].alias("at"))
+    rows = Stages(docs.sparkSession, "documents").save(rows, "documents")
+    row, at = row_place(rows)
+    return rows.select("doc", row.alias("row"), at.alias("at"))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -40,17 +70,22 @@ class Stages:
 
     A stage written here is read back from files that every executor sees, so
     lost executors cost only their own tasks. ``drop`` deletes what later
-    jobs no longer read; what the returned DataFrame reads stays.
+    jobs no longer read, ``keep_only`` all but what the returned DataFrame reads.
     """
 
     def __init__(self, spark: SparkSession, operator: str):
         self.spark, self.root = spark, f"{scratch_root(spark)}/{operator}-{uuid.uuid4().hex}"
         self.count = 0
+        self.paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+        self.there: set[str] = set()
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        saved = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[saved] = path
+        self.there.add(path)
+        return saved
 
     def path(self, name: str) -> str:
         self.count += 1
@@ -58,12 +93,17 @@ class Stages:
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete the stages' files, and let Spark remove the shuffle files of finished jobs."""
-        jvm = self.spark._jvm
-        for df in tables:
-            for file in df.inputFiles()[:1]:
-                path = jvm.org.apache.hadoop.fs.Path(file).getParent()
-                if self.root.rpartition("/")[2] in path.toString():
-                    path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._delete([self.paths[df] for df in tables])
+
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Delete all stages but these."""
+        self._delete(self.there - {self.paths[df] for df in tables})
+
+    def _delete(self, paths: Iterable[str]) -> None:
+        for name in list(paths):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self.there.discard(name)
         self.release()
 
     def release(self) -> None:

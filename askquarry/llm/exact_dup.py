@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from askquarry.llm.common import Stages, ascii_lower, partitions
+from askquarry.llm.common import Stages, ascii_lower, numbered, partitions
 
 #: Characters of a block.
 BLOCK = 1024
@@ -78,12 +78,12 @@ def exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     the largest doc_id stays, a null doc_id being smaller than any other; of several such rows one stays. Other
     columns are not read. ``row`` numbers the rows of this run.
     """
-    return _grouped(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), block)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return _grouped(rows, block, Stages(docs.sparkSession, "exact"))
 
 
-def _grouped(numbered: DataFrame, block: int) -> DataFrame:
-    stages = Stages(numbered.sparkSession, "exact")
-    rows = stages.save(identities(numbered, stages, block), "identities")
+def _grouped(named: DataFrame, block: int, stages: Stages) -> DataFrame:
+    rows = stages.save(identities(named, stages, block), "identities")
     best = F.max(F.struct("doc_id", "row"))
     groups = stages.save(rows.groupBy("level", "name").agg(best.alias("best"), F.count("*").alias("group_size")), "groups")
     found = rows.join(groups, ["level", "name"])
@@ -92,9 +92,15 @@ def _grouped(numbered: DataFrame, block: int) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The rows that stay, with all columns of ``docs``."""
+    """The rows that stay, with all columns of ``docs``, whatever their names.
+
+    Of equal texts, null being empty, the row with the largest doc_id stays, of repeated rows with that id one;
+    an empty table gives no rows, and a text of any length is compared whole. A table of Parquet
+    files isn't copied: only the names of the rows that go are written.
+    """
     stages = Stages(docs.sparkSession, "exact-kept")
-    rows = stages.save(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "documents")
-    found = _grouped(rows.select("row", "doc.doc_id", "doc.text"), block)
+    rows = numbered(docs)
+    found = _grouped(rows.select("row", "doc.doc_id", "doc.text"), block, stages)
     gone = stages.save(found.where("not kept").select("row"), "gone")
+    stages.keep_only(gone)
     return rows.join(gone, "row", "left_anti").select("doc.*")

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from askquarry.llm.common import Stages
+from askquarry.llm.common import Stages, numbered, row_place
 from askquarry.session import ship_package
 
 #: Rows that one task balances together.
@@ -17,6 +17,8 @@ CHUNK_ROWS = 2_000
 MOST = 3
 #: Targets are broadcast up to so many sources, and joined beyond.
 BROADCAST_SOURCES = 10_000
+#: Rows whose copies, some 60 bytes each, are broadcast to the documents; more meet them in a shuffle.
+BROADCAST_ROWS = 1_000_000
 EPS = 1e-9
 
 
@@ -114,11 +116,12 @@ def settle(sizes: list[int], chances: list[float], rng: random.Random) -> list[f
 
 
 def decide(rows: DataFrame, stages: Stages, seed: int = 23, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """(row, copies) for rows of (row, key, source, size), with source_size and target of each row's source.
+    """(row, copies) for rows of (row, at, key, source, size), with source_size and target of each row's source.
 
     A source's documents are wanted target / source_size times each: the whole part is taken for all, the
     fraction is each one's chance. Chunks of a source are flown apart; the two open rows that each may leave meet again in
-    later rounds, until every source is one chunk, in which all is settled. ``key`` orders the rows, so runs agree.
+    later rounds, until every source is one chunk, in which all is settled. ``key`` and then the place ``at`` order the rows, so runs agree;
+    both choose the chunk, so repeated rows are spread.
     """
     sources = stages.save(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))), "targets")
     few = sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
@@ -130,9 +133,9 @@ def decide(rows: DataFrame, stages: Stages, seed: int = 23, chunk_rows: int = CH
     open_, done = rows, []
     while True:
         chunks = F.ceil(F.col("held") / chunk_rows)
-        open_ = open_.withColumns({"chunks": chunks, "chunk": F.pmod(F.xxhash64(F.lit(seed), "key"), chunks)})
-        columns = ["row", "key", "source", "size", "source_size", "target", "whole", "chance", "chunks"]
-        schema = "row long, key long, source string, size long, source_size long, target double, whole long, chance double, chunks long"
+        open_ = open_.withColumns({"chunks": chunks, "chunk": F.pmod(F.xxhash64(F.lit(seed), "key", "at"), chunks)})
+        columns = ["row", "at", "key", "source", "size", "source_size", "target", "whole", "chance", "chunks"]
+        schema = "row string, at long, key long, source string, size long, source_size long, target double, whole long, chance double, chunks long"
         flown = open_.select(*columns, "chunk").groupBy("source", "chunk").applyInPandas(_flown(columns, seed), schema)
         flown = stages.save(flown, "flown")
         still = F.col("chance").between(EPS, 1 - EPS)
@@ -152,7 +155,7 @@ def decide(rows: DataFrame, stages: Stages, seed: int = 23, chunk_rows: int = CH
 
 def _flown(columns: list[str], seed: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["key", "row"], kind="stable")
+        group = group.sort_values(["key", "at"], kind="stable")
         rng = random.Random(f"{seed}/{group['source'].iloc[0]}/{group['chunk'].iloc[0]}")
         sizes, chances = group["size"].tolist(), group["chance"].tolist()
         chances = (settle if group["chunks"].iloc[0] == 1 else flight)(sizes, chances, rng)
@@ -161,10 +164,11 @@ def _flown(columns: list[str], seed: int):
     return run
 
 
-def _numbered(docs: DataFrame, seed: int) -> DataFrame:
+def _sized(rows: DataFrame, seed: int, *others: Column) -> DataFrame:
+    """What ``decide`` reads of rows of (row, at, doc_id, text, source)."""
     text = F.col("text").cast("string")
     key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.coalesce(text, F.lit("")))
-    return docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"), key.alias("key"), F.col("source").cast("string").alias("source"), word_count(text).alias("size"))
+    return rows.select("row", "at", key.alias("key"), F.col("source").cast("string").alias("source"), word_count(text).alias("size"), *others)
 
 
 def taken_words(docs: DataFrame, seed: int = 23, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -175,18 +179,29 @@ def taken_words(docs: DataFrame, seed: int = 23, chunk_rows: int = CHUNK_ROWS) -
     """
     stages = Stages(docs.sparkSession, "mixing")
     ship_package(docs.sparkSession)
-    rows = _numbered(docs.select("doc_id", "text", "source"), seed)
-    rows = stages.save(rows.select("row", "key", "source", "size", "doc.doc_id"), "rows")
+    number = F.monotonically_increasing_id()
+    row, at = row_place(docs) or (number.cast("string"), number)
+    rows = docs.select(row.alias("row"), at.alias("at"), "doc_id", "text", "source")
+    rows = stages.save(_sized(rows, seed, F.col("doc_id")), "rows")
     found = decide(rows.drop("doc_id"), stages, seed, chunk_rows)
     found = found.join(rows.select("row", "doc_id"), "row")
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, seed: int = 23, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """The mixed rows with all columns of ``docs``; a row taken more than once is repeated."""
+    """The mixed rows with all columns of ``docs``, whatever their names; a row taken more than once is repeated.
+
+    Rows are taken as in ``taken_words``; rows without words are taken as their source's share says. A table
+    of Parquet files isn't copied: the rows' copies are broadcast to it up to ``BROADCAST_ROWS``, and joined by row beyond.
+    """
     stages = Stages(docs.sparkSession, "mixing")
     ship_package(docs.sparkSession)
-    rows = stages.save(_numbered(docs, seed), "documents")
-    found = decide(rows.drop("doc"), stages, seed, chunk_rows).where("copies > 0").select("row", "copies")
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    rows = numbered(docs)
+    sized = stages.save(_sized(rows.select("row", "at", "doc.doc_id", "doc.text", "doc.source"), seed), "rows")
+    found = decide(sized, stages, seed, chunk_rows).where("copies > 0").select("row", F.col("copies").cast("int").alias("copies"))
+    found = stages.save(found, "copies")
+    stages.keep_only(found)
+    if found.count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
     return rows.join(found, "row").select("doc", copies.alias("copy")).select("doc.*")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from askquarry.llm import rolling
-from askquarry.llm.common import Stages, ascii_lower, text_key
+from askquarry.llm.common import Stages, ascii_lower, numbered, text_key
 from askquarry.llm.graph import components
 from askquarry.session import ship_package
 
@@ -387,15 +387,18 @@ def near_duplicates(docs: DataFrame, near: Near = WORDS_5) -> DataFrame:
 def deduplicated(docs: DataFrame, near: Near = WORDS_5) -> DataFrame:
     """One row of every component, with all columns of ``docs``; rows without words all stay.
 
-    The one with the smallest doc_id stays, null last; of repeated rows with that id one.
+    The one with the smallest doc_id stays, null last; of repeated rows with that id one. Null and empty texts are without
+    words, an empty table gives no rows. A table of Parquet files isn't copied.
     """
     stages = Stages(docs.sparkSession, "near-kept")
-    text = F.col("text").cast("string")
-    rows = stages.save(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"), *text_key(text)), "documents")
+    rows = numbered(docs)
     found = near_components(rows.select("doc.doc_id", "doc.text"), near, stages)
     roots = stages.save(found.where("root is not null").select("k1", "k2", "root").distinct(), "roots")
-    slim = rows.select("row", F.col("doc.doc_id").alias("id"), "k1", "k2").join(roots, ["k1", "k2"])
+    key = text_key(F.col("doc.text").cast("string"))
+    slim = rows.select("row", F.col("doc.doc_id").alias("id"), *key).join(roots, ["k1", "k2"]).select("row", "id", "root")
+    slim = stages.save(slim, "rooted")
     first = F.struct(F.col("id").isNull(), "id", "row")
     kept = slim.groupBy("root").agg(F.min(first).alias("first")).select("first.row")
-    gone = slim.select("row").join(kept, "row", "left_anti")
-    return rows.join(stages.save(gone, "gone"), "row", "left_anti").select("doc.*")
+    gone = stages.save(slim.select("row").join(kept, "row", "left_anti"), "gone")
+    stages.keep_only(gone)
+    return rows.join(gone, "row", "left_anti").select("doc.*")

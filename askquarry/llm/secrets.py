@@ -16,11 +16,12 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "markov")
 MIN_ACCESS, MIN_VALUE = 16, 8
 
-#: What the Markov models look at.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: What the Markov models look at: runs of these characters, letters alone or digits alone too. Shorter ones hold too few pairs.
+CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-#: Mean log-likelihood ratio per character pair from which a candidate is random.
-RATIO = 0.35
+#: A candidate is random when its log-likelihood ratio is so many times the square root of its character pairs;
+#: the ratio of one pair has a standard deviation of about one, so a short run needs more per pair than a long one.
+ERRORS = 2.5
 
 # Words that ordinary identifiers are made of.
 PARTS = (
@@ -68,8 +69,8 @@ def pair_ratios(samples: DataFrame) -> list[float]:
     return [logs[True][a][b] - logs[False][a][b] for a in range(side) for b in range(side)]
 
 
-def ratio(token: Column, ratios: list[float]) -> Column:
-    """Mean ratio over the character pairs of a token."""
+def is_random(token: Column, ratios: list[float], errors: float = ERRORS) -> Column:
+    """Whether the summed ratio over the character pairs of a token is above its error."""
     side = len(ALPHABET) + 1
     table = F.array(*map(F.lit, ratios))
     codes = F.transform(F.split(token, ""), lambda c: F.when(c == "", 0).otherwise(F.instr(F.lit(ALPHABET), c)))
@@ -79,7 +80,7 @@ def ratio(token: Column, ratios: list[float]) -> Column:
         more = F.when(acc["last"] >= 0, F.get(table, acc["last"] * side + code)).otherwise(0.0)
         return F.struct(code.alias("last"), (acc["sum"] + more).alias("sum"), (acc["n"] + 1).alias("n"))
 
-    return F.aggregate(codes, start, step, lambda acc: acc["sum"] / F.greatest(acc["n"] - 1, F.lit(1)))
+    return F.aggregate(codes, start, step, lambda acc: acc["sum"] >= F.lit(errors) * F.sqrt(F.greatest(acc["n"] - 1, F.lit(1))))
 
 
 def _spans(text: Column, pattern: str, kind: str, value: int = 0) -> Column:
@@ -119,9 +120,10 @@ def scan(docs: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base (array) and spans (array).
 
     Base spans are leftmost matches of the patterns; assignments with too short a value and short access
-    keys are dropped after matching. The method adds candidates of at least 20 characters, with a letter and a digit, whose
-    characters follow each other as in random strings rather than in identifiers. Spans are ordered by start,
-    then kind. A span is (start, rank, kind, end, value), in code points, end exclusive. Null counts as empty. One pass over
+    keys are dropped after matching. The method adds runs of at least 12 characters that follow each other as in random
+    strings rather than in identifiers (``is_random``). Spans are ordered by start,
+    then kind. A span is (start, rank, kind, end, value), in code points, end exclusive. Null counts as empty, repeated rows get equal
+    results, an empty table gives no rows, and texts of any length are read whole. One pass over
     the rows, no shuffle; other columns are not read. ``samples`` are labelled rows (text, random).
     """
     spark = docs.sparkSession
@@ -133,9 +135,9 @@ def scan(docs: DataFrame, samples: DataFrame | None = None) -> DataFrame:
         F.filter(_spans(F.col("text"), ASSIGN, "assign", 2), lambda s: F.length(s["value"]) >= MIN_VALUE).alias("assign"),
         F.filter(_spans(F.col("text"), ACCESS, "access"), lambda s: s["end"] - s["start"] >= MIN_ACCESS).alias("access"),
         _spans(F.col("text"), HEX, "hex").alias("hex"),
-        F.filter(_spans(F.col("text"), CANDIDATE, "markov"), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")).alias("candidates"),
+        _spans(F.col("text"), CANDIDATE, "markov").alias("candidates"),
     )
-    drawn = F.filter("candidates", lambda s: ratio(s["value"], ratios) >= RATIO)
+    drawn = F.filter("candidates", lambda s: is_random(s["value"], ratios))
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
     rows = rows.select("doc_id", *counts, F.array_sort(F.concat(*KINDS[:3])).alias("base"), F.when(F.size("candidates") > 0, drawn).otherwise(F.col("candidates")).alias("markov"))
     return rows.select("doc_id", *[f"n_{k}" for k in KINDS[:3]], "base", F.array_sort(F.concat("base", "markov")).alias("spans"))

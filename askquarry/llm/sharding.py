@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from askquarry.llm.common import Stages
 SHARDS = 40
 #: Source partitions that the matrix has at most; the driver holds its numbers, never rows.
 SOURCES = 4096
-#: Rows that are permuted together at most; larger shards are drawn as several blocks.
+#: Rows that one task permutes, about; the keys of a larger shard are sorted in several blocks.
 BLOCK_ROWS = 5_000_000
 #: Numbers of the matrix that are broadcast at most (8 bytes each).
 BROADCAST_NUMBERS = 1_000_000
@@ -75,8 +76,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 17, block_rows: int
 
     A uniform shuffle under the law ``rows``: counts are at most one apart. Rows are dealt in four steps:
     exact counts from source partitions to shards are drawn, each source is permuted, its next counts of rows
-    go to the shards, and each shard is permuted again, so slots are gapless from 0. Sources are the partitions
-    of the scan, so no key of the data can make one large. A null text counts as empty, null ids and repeated rows are
+    go to the shards, and each shard is permuted again, so slots are gapless from 0. Permuting is sorting by random keys; the
+    blocks of a large shard are stretches of its keys, whose counts say where each begins. Sources are the partitions
+    of the scan, so no key of the data can make one large; the matrix has a number per source and shard, however many
+    rows there are. A null text counts as empty, null ids and repeated rows are
     rows like any other, other columns are not read, an empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -89,19 +92,22 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = 17, block_rows: int
     sources, total = sorted(counts), sum(counts.values())
     sizes = [total // shards + (k < total % shards) for k in range(shards)]
     blocks = max(1, -(-max(sizes) // block_rows))
-    targets = [q // blocks + (b < q % blocks) for q in sizes for b in range(blocks)]
-    matrix = communication_matrix(random.Random(seed), [counts[s] for s in sources], targets)
-    ends = [(s, [sum(row[: k + 1]) for k in range(len(row))]) for s, row in zip(sources, matrix, strict=True)]
-    bounds = spark.createDataFrame(ends, "source int, ends array<long>")
-    if len(ends) * len(targets) <= BROADCAST_NUMBERS:
+    matrix = communication_matrix(random.Random(seed), [counts[s] for s in sources], sizes)
+    bounds = spark.createDataFrame([(s, list(accumulate(row))) for s, row in zip(sources, matrix, strict=True)], "source int, ends array<long>")
+    if len(sources) * shards <= BROADCAST_NUMBERS:
         bounds = F.broadcast(bounds)
     order = ["doc_id", "size", "text_crc32"]
     rank = F.row_number().over(Window.partitionBy("source").orderBy("key", *order)) - 1
     sent = rows.withColumn("rank", rank).join(bounds, "source")
-    target = F.size(F.filter("ends", lambda e: e <= F.col("rank")))
-    sent = stages.save(sent.select(*order, F.xxhash64(F.lit(seed + 1), "key").alias("key"), target.alias("target")), "sent")
-    place = F.row_number().over(Window.partitionBy("target").orderBy("key", *order)) - 1
-    number, block = F.floor(F.col("target") / blocks), F.col("target") % blocks
-    size = F.lit(total // shards) + (number < total % shards).cast("long")
-    start = block * F.floor(size / blocks) + F.least(block, size % blocks)
-    return sent.select(*order, number.cast("int").alias("shard"), (start + place).cast("long").alias("slot"))
+    number = F.size(F.filter("ends", lambda e: e <= F.col("rank")))
+    sent = sent.select(*order, F.xxhash64(F.lit(seed + 1), "key").alias("key"), number.alias("shard"))
+    block = F.shiftright(F.shiftrightunsigned("key", 33) * F.lit(blocks).cast("long"), 31).cast("int")
+    sent = stages.save(sent.withColumn("block", block), "sent")
+    earlier = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sent.groupBy("shard", "block").count()
+    starts = starts.select("shard", "block", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("start"))
+    if shards * blocks <= BROADCAST_NUMBERS:
+        starts = F.broadcast(starts)
+    place = F.row_number().over(Window.partitionBy("shard", "block").orderBy("key", *order)) - 1
+    placed = sent.withColumn("place", place).join(starts, ["shard", "block"])
+    return placed.select(*order, "shard", (F.col("start") + F.col("place")).alias("slot"))

@@ -261,8 +261,9 @@ def test_cube_keeps_both_sums():
     assert abs(sum(s * (o - 0.3) for s, o in zip(sizes, out, strict=True))) < 500 and abs(sum(out) - 600) < 20
 
 
-def test_shards_are_even_and_gapless(docs):
-    got = sharding.shard(docs, block_rows=1).collect()
+@pytest.mark.parametrize("block_rows", [1, 5_000_000])
+def test_shards_are_even_and_gapless(docs, block_rows):
+    got = sharding.shard(docs, block_rows=block_rows).collect()
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, *_ in ROWS)
     shards = defaultdict(list)
     for r in got:
@@ -280,6 +281,36 @@ def test_hypergeometric_has_the_right_mean():
     assert abs(sum(big) / 20 - 250_000) < 1000
 
 
+def test_matrix_is_that_of_a_uniform_permutation():
+    sources, targets, times = [5, 3, 4], [4, 4, 4], 4000
+    rng, drawn, shuffled = random.Random(7), Counter(), Counter()
+    rows = [s for s, n in enumerate(sources) for _ in range(n)]
+    for _ in range(times):
+        matrix = sharding.communication_matrix(rng, sources, targets)
+        assert [sum(row) for row in matrix] == sources and [sum(c) for c in zip(*matrix, strict=True)] == targets
+        drawn[tuple(map(tuple, matrix))] += 1
+        rng.shuffle(rows)
+        shuffled[tuple(tuple(rows[4 * k : 4 * k + 4].count(s) for k in range(3)) for s in range(3))] += 1
+    # two samples of one law: the statistic has about as many degrees of freedom as there are frequent matrices
+    seen = [m for m in drawn | shuffled if drawn[m] + shuffled[m] >= 20]
+    chi = sum((drawn[m] - shuffled[m]) ** 2 / (drawn[m] + shuffled[m]) for m in seen)
+    assert chi < len(seen) + 4 * (2 * len(seen)) ** 0.5
+
+
+@pytest.mark.parametrize("block_rows", [100, 5_000_000])
+def test_shards_and_slots_forget_the_order_of_rows(spark, block_rows):
+    n, shards = 8000, 8
+    docs = spark.range(n).selectExpr("id AS doc_id", "'' AS text").repartitionByRange(5, "doc_id")
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard(docs, shards, block_rows=block_rows).collect()}
+    # by tenths of the ids: even over the shards, over the halves of a shard, and neighbours don't stay together
+    per = Counter((i * 10 // n, shard) for i, (shard, _) in got.items())
+    assert sum((per[t, s] - 100) ** 2 / 100 for t in range(10) for s in range(shards)) < 63 + 4 * 126**0.5
+    low = Counter(i * 10 // n for i, (_, slot) in got.items() if slot < n // shards // 2)
+    assert sum((low[t] - 400) ** 2 / 200 for t in range(10)) < 9 + 4 * 18**0.5
+    follow = sum(got[i + 1] == (got[i][0], got[i][1] + 1) for i in range(n - 1))
+    assert follow < 10 and got != {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard(docs, shards, seed=18).collect()}
+
+
 def test_empty_tables(none, spark):
     for run in (packing.pack_documents, substrings.without_repeats, licenses.scan, near_dup.near_duplicates, secrets.scan, exact_dup.exact_duplicates, mixing.taken_words, mixing.mix, sharding.shard):
         assert run(none).count() == 0

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from askquarry.llm.common import Stages, numbered, row_place
+from askquarry.llm.common import Stages, numbered, partitions, row_place
 from askquarry.session import ship_package
 
 #: Rows that one task balances together.
@@ -26,24 +26,40 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def targets(sizes: DataFrame, weights: int = 3) -> DataFrame:
+def _before(rows: DataFrame, order: list[Column], sums: list[str], stages: Stages) -> DataFrame:
+    """``rows`` with before_c for each column c of ``sums``: its sum over the rows that come earlier in the total ``order``.
+
+    The rows are dealt by range; the sums of whole ranges, one row each, say where a range begins.
+    """
+    dealt = rows.repartitionByRange(partitions(rows.sparkSession), *order).withColumn("part", F.spark_partition_id())
+    dealt = stages.save(dealt, "ordered")
+    inner = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = dealt.groupBy("part").agg(*(F.sum(c).alias(c) for c in sums))
+    parts = parts.select("part", *(F.coalesce(F.sum(c).over(outer), F.lit(0)).alias(f"first_{c}") for c in sums))
+    inside = dealt.withColumns({f"before_{c}": F.coalesce(F.sum(c).over(inner), F.lit(0)) for c in sums})
+    known = inside.join(F.broadcast(parts), "part")
+    return known.withColumns({f"before_{c}": F.col(f"before_{c}") + F.col(f"first_{c}") for c in sums}).drop("part", *(f"first_{c}" for c in sums))
+
+
+def targets(sizes: DataFrame, weights: int = 3, stages: Stages | None = None) -> DataFrame:
     """(source, source_size, n, target) of a table of (source, source_size, n), one row per source.
 
     Sources by code point, null last, weigh 1 to ``weights``, repeating, and share all sizes; none gets more than ``MOST``
     times its own. The capped ones are those with the least size per weight: going up in that order, a
     source is capped when its share of what the ones before leave is above its cap, and all others share the rest.
-    The windows run over one row per source.
+    Sources may be many: no task holds more than a range of them. An empty table gives no rows.
     """
-    by_name = Window.orderBy(F.col("source").isNull(), F.col("source"))
-    weighed = sizes.withColumn("w", F.pmod(F.row_number().over(by_name) - 1, F.lit(weights)) + 1)
-    weighed = weighed.withColumn("cap", F.lit(MOST) * F.col("source_size"))
-    before = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").isNull(), F.col("source")).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rest = F.sum("source_size").over(whole) - F.coalesce(F.sum("cap").over(before), F.lit(0))
-    share = rest / (F.sum("w").over(whole) - F.coalesce(F.sum("w").over(before), F.lit(0)))
-    leveled = weighed.withColumn("share", share).withColumn("level", F.max("share").over(whole))
-    target = F.least(F.col("cap").cast("double"), F.col("level") * F.col("w"))
-    return leveled.select("source", "source_size", "n", target.alias("target"))
+    stages = stages or Stages(sizes.sparkSession, "targets")
+    by_name = [F.col("source").isNull(), F.col("source")]
+    weighed = _before(sizes.withColumn("one", F.lit(1)), by_name, ["one"], stages)
+    weighed = weighed.withColumn("w", F.pmod("before_one", F.lit(weights)) + 1).withColumn("cap", F.lit(MOST) * F.col("source_size"))
+    leveled = _before(weighed, [F.col("cap") / F.col("w"), *by_name], ["cap", "w"], stages)
+    size, weight = leveled.agg(F.sum("source_size"), F.sum("w")).first()
+    share = (F.lit(size) - F.col("before_cap")) / (F.lit(weight) - F.col("before_w"))
+    level = leveled.agg(F.max(share)).first()[0]
+    target = F.least(F.col("cap").cast("double"), F.lit(level) * F.col("w"))
+    return leveled.select("source", "source_size", "n", target.cast("double").alias("target"))
 
 
 # --- the cube method -------------------------------------------------------------------
@@ -123,7 +139,7 @@ def decide(rows: DataFrame, stages: Stages, seed: int = 23, chunk_rows: int = CH
     later rounds, until every source is one chunk, in which all is settled. ``key`` and then the place ``at`` order the rows, so runs agree;
     both choose the chunk, so repeated rows are spread.
     """
-    sources = stages.save(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))), "targets")
+    sources = stages.save(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), stages=stages), "targets")
     few = sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     known = F.broadcast(sources) if few else sources
     rows = rows.join(known.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")

@@ -76,6 +76,25 @@ def test_packing_places_every_piece(docs):
     assert len(bins) <= sum(r["length"] for r in got) / 1024 + 2
 
 
+@pytest.mark.parametrize("merge_items", [5, 40, 200_000])
+def test_packing_merges_in_rounds_of_several_tasks(spark, merge_items):
+    rng = random.Random(2)
+    rows = [(k, 0, 0, rng.randint(1, 1024) if k % 3 else rng.randint(1, 90), k) for k in range(600)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(12)
+    got = packing.pack(pieces, 1024, merge_items=merge_items).collect()
+    assert ordered((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == ordered(rows)
+    bins = defaultdict(list)
+    for r in got:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in bins.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))] and sum(n for _, n in parts) <= 1024
+    # one task sees all and is near the bound; sequences of rounds over few items leave more room
+    bound = sum(r[3] for r in rows) / 1024
+    assert len(bins) <= bound * {5: 1.2, 40: 1.1, 200_000: 1.05}[merge_items], (len(bins), bound)
+    assert any(r["sequence_id"] >> 56 > 0 for r in got)
+
+
 def test_encoder_equals_the_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -237,6 +256,22 @@ def test_mix_comes_near_its_targets(docs):
     assert sum(len(split(r["text"])) for r in mixed.collect()) == sum(r["taken"] for r in got)
 
 
+@pytest.mark.parametrize("chunk_rows", [20, 2000])
+def test_what_is_taken_is_near_the_target(spark, chunk_rows):
+    rng = random.Random(8)
+    rows = [(k, "w " * int(rng.lognormvariate(4, 1)), rng.choice(["a", "b", "c", "d", "e", None] + ["big"] * 3)) for k in range(3000)]
+    rows += [(5000 + k, "tiny words", "small") for k in range(3)] + [(6000, None, "none")]
+    got = mixing.taken_words(spark.createDataFrame(rows, "doc_id long, text string, source string"), chunk_rows=chunk_rows).collect()
+    source, taken, target = {k: s for k, _, s in rows}, Counter(), {}
+    for r in got:
+        taken[source[r["doc_id"]]] += r["taken"]
+        target[source[r["doc_id"]]] = r["target"]
+    assert target["small"] == 18 and target["none"] == 0
+    # a last chunk of few rows misses less than its longest document, one of many rows some words
+    most = 10 if chunk_rows == 2000 else max(r["size"] for r in got)
+    assert all(abs(taken[s] - target[s]) <= most for s in target), sorted(taken[s] - target[s] for s in target)
+
+
 def test_targets_share_everything_below_the_cap(spark):
     sizes = {"a": 10, "b": 1000, "c": 50, None: 400}
     rows = mixing.targets(spark.createDataFrame([(k, v, 1) for k, v in sizes.items()], "source string, source_size long, n long")).collect()

@@ -191,16 +191,16 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, stages: Stages | None = None) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, stages: Stages | None = None, merge_items: int = MERGE_ITEMS) -> DataFrame:
     """Pieces with sequence_id and offset.
 
     ``pieces`` has doc_id, piece, start, length and ids_crc32; no length is above the capacity. Hierarchical
     residual packing: each partition packs its pieces best-fit, longest first, and emits
     nearly full bins; underfull bins are the items of the next round, which has one task for every
-    ``MERGE_ITEMS`` of them, so the rounds form a tree. Rounds end when one task has
+    ``merge_items`` of them, so the rounds form a tree. Rounds end when one task has
     held all that was left, or when a round has closed less than a hundredth of its bins; what remains is
     emitted as it is. So every piece is placed, and no task holds more than about
-    ``MERGE_ITEMS`` at once. Ties in length go by the order of the stored rows,
+    ``merge_items`` at once. Ties in length go by the order of the stored rows,
     which a repeated task reads again unchanged. No pieces give no rows.
     """
     spark = pieces.sparkSession
@@ -210,13 +210,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, stages: Stages | None = No
     items = pieces.select(F.array(member).alias("members"), F.col("length").cast("long").alias("used"))
     done, number, last, before = [], 0, False, 0
     while True:
-        packed = stages.save(items.mapInArrow(_round(capacity, number, last), f"{MEMBERS}, offsets array<long>, used long, sequence_id long"), f"bins-{number}")
+        packed = stages.save(items.mapInArrow(_round(capacity, number, last, merge_items), f"{MEMBERS}, offsets array<long>, used long, sequence_id long"), f"bins-{number}")
         done.append(packed.where(F.col("sequence_id").isNotNull()))
         if last:
             break
         left = packed.where(F.col("sequence_id").isNull()).select("members", "used")
         count, number = left.count(), number + 1
-        tasks = -(-count // MERGE_ITEMS)
+        tasks = -(-count // merge_items)
         last = tasks <= 1 or (number > 1 and count > 0.99 * before)
         before = count
         items = left.repartition(max(1, tasks))
@@ -228,15 +228,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, stages: Stages | None = No
     return flat.select("z.members.*", "sequence_id", F.col("z.offsets").alias("offset"))
 
 
-def _round(capacity: int, number: int, last: bool):
-    """Best-fit over a partition, ``MERGE_ITEMS`` items at a time."""
+def _round(capacity: int, number: int, last: bool, merge_items: int):
+    """Best-fit over a partition, ``merge_items`` items at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, base = [], 0, (number << 56) + (TaskContext.get().partitionId() << 32)
         for batch in batches:
             held.append(batch)
             rows += batch.num_rows
-            if rows >= MERGE_ITEMS:
+            if rows >= merge_items:
                 yield from (out := _packed(held, capacity, base, last))
                 base += sum(b.num_rows for b in out)
                 held, rows = [], 0
@@ -275,12 +275,16 @@ def _packed(batches: list[pa.RecordBatch], capacity: int, base: int, last: bool)
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID
+    docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, merge_items: int = MERGE_ITEMS
 ) -> DataFrame:
-    """Each piece of each document with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Each piece of each document with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    A null text is empty and has the end id alone; null ids and repeated rows are packed each, other columns are not read,
+    a very long text is cut into pieces, an empty table gives no rows.
+    """
     stages = Stages(docs.sparkSession, "packing")
     pieces = stages.save(tokenized(docs, tokenizer, capacity, end_id), "pieces")
-    return pack(pieces, capacity, stages)
+    return pack(pieces, capacity, stages, merge_items)
 
 
 def sequences(docs: DataFrame, placed: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

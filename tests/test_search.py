@@ -1,6 +1,7 @@
 """Search: agreement of all forms with brute force, edge rows, skew, plans."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -238,3 +239,53 @@ def test_centres_are_trained_on_all_rows_unless_a_bound_is_given(spark):
     bounded = build_cells(corpus, 2, 2, "l2", training_rows=100)
     assert np.abs(bounded.centres[bounded.centres[:, 0].argsort()] - means).max() > 1e-6
     assert bounded.rows.count() == 1400
+
+
+def test_a_scan_passes_on_k_rows_per_query_and_core(spark):
+    """Not per split of the corpus, whose number grows with it."""
+    rng = np.random.default_rng(7)
+    rows = table(spark, rng.normal(size=(400, DIM)), "id", "values").repartition(40)
+    queries = rng.normal(size=(10, DIM))
+    partial = search._scan(rows, pa.array(range(10)), queries, rows.schema["id"].dataType, 5, "cosine")
+    assert partial.count() <= 10 * 5 * spark.sparkContext.defaultParallelism
+
+
+def test_twenty_thousand_queries_are_one_scan(spark, monkeypatch):
+    monkeypatch.setattr(search, "_scan_batches", lambda *_: pytest.fail("searched in batches"))
+    turned = F.array(*[F.sin(F.col("qid") + i).cast("float") for i in range(2)])
+    asked = spark.range(20_000).withColumnRenamed("id", "qid").withColumn("vector", turned)
+    found = topk(table(spark, [[1.0, 0.0], [0.0, 1.0], [-1.0, -1.0]], "id", "values"), asked, 1, dim=2)
+    assert found.count() == 20_000
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_equal_scores_of_many_batches_keep_the_lowest_ids_and_few_others(monkeypatch, metric):
+    """All rows are as near; ids come in no order, and a query set holds those of its matches only."""
+    monkeypatch.setattr(search, "SETTLE_PAIRS", 50)
+    turns = np.linspace(0, 2 * np.pi, 900)
+    rows = np.stack([np.cos(turns), np.sin(turns), np.zeros(900)], axis=1)
+    ids = [f"{i:04d}" for i in np.random.default_rng(2).permutation(900)]
+    found = search.QuerySet(pa.array(["q", "r"]), np.array([[0.0, 0.0, 1.0], [0.0, 0.0, 2.0]]), 3, metric)
+    for r in range(0, 900, 90):
+        found.offer(pa.array(ids[r : r + 90]), rows[r : r + 90])
+        assert found.held <= 50 + 90
+    got = found.result(pa.string(), pa.string()).to_pydict()
+    assert sorted(zip(got["qid"], got["id"], strict=True)) == [(q, i) for q in "qr" for i in ("0000", "0001", "0002")]
+
+
+def test_scores_kept_by_single_precision_are_those_of_double(spark):
+    """Scores closer together than single precision tells apart still rank by their ninth place."""
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=64)
+    corpus = np.float32(centre + rng.normal(scale=3e-4, size=(6_000, 64))).astype(float)
+    queries = np.float32(centre + rng.normal(scale=3e-4, size=(40, 64))).astype(float)
+    found = search.QuerySet(pa.array(range(40)), queries, 4, "cosine")
+    for r in range(0, 6_000, 2_500):
+        found.offer(pa.array(range(r, min(r + 2_500, 6_000))), corpus[r : r + 2_500])
+    got = found.result(pa.int64(), pa.int64()).to_pydict()
+    units = [m / np.sqrt(np.einsum("ij,ij->i", m, m))[:, None] for m in (queries, corpus)]
+    for q in range(40):
+        scores = np.round(np.einsum("j,ij->i", units[0][q], units[1]), 9)
+        kth = np.sort(scores)[-4]
+        hits = [(i, s) for p, i, s in zip(got["qid"], got["id"], got["score"], strict=True) if p == q]
+        assert len(hits) == 4 and all(abs(scores[i] - s) < 3e-9 and s >= kth - 3e-9 for i, s in hits)

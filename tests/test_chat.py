@@ -292,3 +292,16 @@ def test_a_follow_up_is_judged_with_the_earlier_turns(spark):
     split = chat.split_messages(requests(spark, *both))
     judged = classify.nearest_class(hash_embed(split.withColumn("t", chat.with_history_text(split)), "t", "v"), centroids, "v")
     assert [r["predicted"] for r in judged.orderBy("request_id").collect()] == ["mills", "buses"]
+
+
+def test_the_registered_model_stage_is_sent_and_writes_no_documents_beside_the_prompt(spark, sf_dir):
+    from workload.queries import plan
+
+    message = "array<struct<role: string, content: string>>"
+    ready = spark.createDataFrame(
+        [("r", "Where is it?", [("user", "Hello.")], "It is here. It was there.", ["u"], "It is here.")],
+        f"request_id string, question string, history {message}, context string, sources array<string>, top_content string",
+    )
+    told = plan(spark, sf_dir).answer(ready)
+    assert told.columns == ["request_id", "sources", "answer"]
+    assert [tuple(r) for r in told.collect()] == [("r", ["u"], "It is here.")]

@@ -289,3 +289,19 @@ def test_scores_kept_by_single_precision_are_those_of_double(spark):
         kth = np.sort(scores)[-4]
         hits = [(i, s) for p, i, s in zip(got["qid"], got["id"], got["score"], strict=True) if p == q]
         assert len(hits) == 4 and all(abs(scores[i] - s) < 3e-9 and s >= kth - 3e-9 for i, s in hits)
+
+
+def test_rows_below_a_querys_bar_are_looked_at_once_for_all(monkeypatch):
+    """Once every query has its matches, a slice whose highest product stays below the bars costs no look at single pairs."""
+    rng = np.random.default_rng(11)
+    queries = np.abs(rng.normal(size=(30, DIM)))
+    found = search.QuerySet(pa.array(range(30)), queries, 2, "cosine")
+    found.offer(pa.array(range(60)), np.repeat(queries, 2, axis=0))
+    looked = []
+    monkeypatch.setattr(search.np, "flatnonzero", lambda a, whole=np.flatnonzero: looked.append(np.size(a)) or whole(a))
+    far = -np.abs(rng.normal(size=(3_000, DIM)))
+    far[1_234] = queries[7]  # no better id than 14 and 15
+    found.offer(pa.array(range(60, 3_060)), far)
+    assert sum(looked) < 3_000 * 5
+    got = found.result(pa.int64(), pa.int64()).to_pydict()
+    assert sorted(zip(got["qid"], got["id"], strict=True)) == [(q, i) for q in range(30) for i in (2 * q, 2 * q + 1)]

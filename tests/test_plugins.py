@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from askquarry.functions.hashing import hash_embed
 from askquarry.operators.chunking import chunk_documents, explode_chunks
 from askquarry.operators.plugins import embed_texts, extract_text, generate_texts, split_texts, utf8_pages
+from askquarry.plans import standins
 from askquarry.plans.standins import hash_model
 
 
@@ -76,3 +77,33 @@ def test_splitter_plugin(spark):
     split = split_texts(df, "t", lambda: lambda text: text.split(";"))
     rows = explode_chunks(split.drop("t"), "chunks").collect()
     assert [(r["url"], r["chunk_no"], r["content"]) for r in rows] == [("a", 0, "x"), ("a", 1, "y")]
+
+
+def test_built_in_model_hashes_a_repeated_word_once(monkeypatch):
+    hashed, md5 = [], standins.hashlib.md5
+    monkeypatch.setattr(standins.hashlib, "md5", lambda word: hashed.append(word) or md5(word))
+    model = hash_model()
+    assert model(["a b a", "b a\tb"]) == model(["b a a", "a b b"])
+    assert len(hashed) == 2
+
+
+def test_reading_model_takes_lines_and_stops_apart_without_a_pattern_per_line(monkeypatch):
+    """Gaps of all kinds end sentences as before; only the question and the sentence told go through the word pattern."""
+    split, patterns = [], standins.WORD_BREAKS
+    monkeypatch.setattr(standins, "WORD_BREAKS", type("Counted", (), {"split": lambda self, text: split.append(text) or patterns.split(text)})())
+    documents = "One two.\tThree  four!? five\rsix\tseven \f . eight.nine\x0bten\n\n \t\n?"
+    prompt = "Documents: {}\nQuestion: {}".format
+    told = {
+        "two": "One two.",
+        "Three": "Three four!?",
+        "five": "five",
+        "six  seven": "six seven",
+        "eight.nine\x0bten": "eight.nine\x0bten",
+        ".": ".",
+        "none": "One two.",
+        "": "One two.",
+    }
+    answers = standins.reading_model()(["\n" + prompt(documents, q) for q in told], 200)
+    assert answers == list(told.values())
+    assert len(split) <= 2 * len(told)
+    assert standins.reading_model()(["\n" + prompt(" \t\r\f\n", "two")], 2) == ["I do"]
